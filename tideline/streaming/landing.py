@@ -8,6 +8,8 @@ from pyspark.sql.streaming import StreamingQuery
 from tideline.plans.daily_load import DailyLoad
 
 UNITS = ("file", "folder")
+# Fixed schema of the binaryFile source; only the path is asked for.
+_FILES = "path string, modificationTime timestamp, length long, content binary"
 
 
 def land_stream(
@@ -33,7 +35,9 @@ def land_stream(
     """
     if unit not in UNITS:
         raise ValueError(f"unit must be one of {UNITS}")
-    arrivals = spark.readStream.format("binaryFile").option("pathGlobFilter", pattern)
+    arrivals = (
+        spark.readStream.format("binaryFile").schema(_FILES).option("pathGlobFilter", pattern)
+    )
     if max_files is not None:
         arrivals = arrivals.option("maxFilesPerTrigger", max_files)
     source = folder.rstrip("/") + ("/*" if unit == "folder" else "")
