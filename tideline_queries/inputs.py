@@ -50,15 +50,21 @@ def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def shown(df: DataFrame) -> DataFrame:
-    """Dates and timestamps as text, which any client reads the same way."""
+def shown(df: DataFrame, sparse: tuple[str, ...] = ()) -> DataFrame:
+    """The rows in types every client reads the same way.
 
-    def text(name: str, kind: str) -> Column:
+    Dates and timestamps become text, and whole numbers that may be null
+    (``sparse``) become doubles.
+    """
+
+    def plain(name: str, kind: str) -> Column:
         if kind == "timestamp":
             return F.date_format(name, _STAMP).alias(name)
-        return F.col(name).cast("string").alias(name) if kind == "date" else F.col(name)
+        if kind == "date":
+            return F.col(name).cast("string").alias(name)
+        return F.col(name).cast("double").alias(name) if name in sparse else F.col(name)
 
-    return df.select(*[text(name, kind) for name, kind in df.dtypes])
+    return df.select(*[plain(name, kind) for name, kind in df.dtypes])
 
 
 # The same in SQL, as the start of a WITH list.
@@ -87,5 +93,7 @@ def stamp_sql(value: str) -> str:
     return f"strftime({value}, '%Y-%m-%d %H:%M:%S.%f')"
 
 
-def seconds_sql(value: str) -> str:
-    return f"CAST(floor(epoch_us({value}) / 1000000) AS BIGINT)"
+def gap_sql(later: str, earlier: str) -> str:
+    """Whole seconds between, each cut to its second first."""
+    seconds = [f"CAST(floor(epoch_us({v}) / 1000000) AS BIGINT)" for v in (later, earlier)]
+    return f"CAST({seconds[0]} - {seconds[1]} AS DOUBLE)"

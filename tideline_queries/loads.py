@@ -20,7 +20,7 @@ from tideline_queries.inputs import (
     DEPARTURES_SQL,
     TIMED_SQL,
     departures,
-    seconds_sql,
+    gap_sql,
     shown,
     stamp_sql,
     zones,
@@ -82,7 +82,7 @@ def _load_in_thirds(spark: SparkSession, sf_dir: str, lookback_days: int) -> Dat
     load = DailyLoad(config(table, lookback_days), zones(spark, sf_dir))
     for days in _thirds(_days(rows)):
         load.load(rows.where(F.col("day").isin(days)))
-    return shown(spark.read.table(table))
+    return shown(spark.read.table(table), ("gap",))
 
 
 def cross_day(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -99,7 +99,7 @@ def daily_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     load = DailyLoad(config(table), zones(spark, sf_dir))
     for days in _thirds(_days(departures(spark, sf_dir))):
         load.run([f"{folder}/arrival={d}" for d in days])
-    return shown(spark.read.table(table))
+    return shown(spark.read.table(table), ("gap",))
 
 
 def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +111,7 @@ def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, folder, load, new_folder(spark, "stream"), unit="folder", max_files=-(-files // 3)
     )
     stream.awaitTermination()
-    return shown(spark.read.table(table))
+    return shown(spark.read.table(table), ("gap",))
 
 
 def _stored(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
@@ -154,7 +154,7 @@ capped AS (
          CASE WHEN d - day <= {lookback_days} THEN k END AS kind_next FROM led)
 SELECT event_id, place, CAST(day AS VARCHAR) AS day, hhmm, kind, value, {stamp_sql("instant")} AS instant,
        {stamp_sql("instant_next")} AS instant_next, kind_next,
-       {seconds_sql("instant_next")} - {seconds_sql("instant")} AS gap
+       {gap_sql("instant_next", "instant")} AS gap
 FROM capped"""
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tideline import first_per_key, next_event, quality_report
-from tideline_queries.inputs import TIMED_SQL, events, seconds_sql, shown, stamp_sql
+from tideline_queries.inputs import TIMED_SQL, events, gap_sql, shown, stamp_sql
 from tideline_queries.times import timed
 
 _CARRY = {"event_type": "type_next"}
@@ -21,26 +21,28 @@ def _with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def next_of_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(next_event(_slim(spark, sf_dir), "user_id", "ts", _CARRY, "gap", ["event_id"]))
+    return shown(next_event(_slim(spark, sf_dir), "user_id", "ts", _CARRY, "gap", ["event_id"]), ("gap",))
 
 
 def nulls_first(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(next_event(_with_gaps(spark, sf_dir), "user_id", "ts", _CARRY, "gap", ["event_id"]))
+    rows = _with_gaps(spark, sf_dir)
+    return shown(next_event(rows, "user_id", "ts", _CARRY, "gap", ["event_id"]), ("gap",))
 
 
 def nulls_skipped(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _with_gaps(spark, sf_dir)
-    return shown(next_event(rows, "user_id", "ts", _CARRY, "gap", ["event_id"], skip_null_times=True))
+    out = next_event(rows, "user_id", "ts", _CARRY, "gap", ["event_id"], skip_null_times=True)
+    return shown(out, ("gap",))
 
 
 def busy_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A handful of keys hold all rows; each is cut into many ranges."""
     rows = _slim(spark, sf_dir)
-    share = max(100, rows.count() // 64)
+    share = max(100, rows.count() // 16)
     out = next_event(
         rows, "event_type", "ts", {"user_id": "user_next"}, "gap", ["event_id"], rows_per_task=share
     )
-    return shown(out)
+    return shown(out, ("gap", "user_next"))
 
 
 def utc_and_next(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,7 +54,7 @@ def utc_and_next(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def utc_next(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return shown(utc_and_next(spark, sf_dir))
+    return shown(utc_and_next(spark, sf_dir), ("gap",))
 
 
 def firsts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -69,7 +71,7 @@ WITH rows AS ({rows}),
 led AS (SELECT *, lead(ts) OVER w AS n, lead({carry}) OVER w AS {carried} FROM rows
         WINDOW w AS (PARTITION BY {key} ORDER BY ts NULLS FIRST, event_id))
 SELECT event_id, user_id, event_type, {stamp_sql("ts")} AS ts, {stamp_sql("n")} AS ts_next, {carried},
-       {seconds_sql("n")} - {seconds_sql("ts")} AS gap
+       {gap_sql("n", "ts")} AS gap
 FROM led"""
 
 
@@ -105,12 +107,12 @@ led AS (
   WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)
   UNION ALL SELECT *, NULL, NULL FROM rows WHERE ts IS NULL)
 SELECT event_id, user_id, event_type, {stamp_sql("ts")} AS ts, {stamp_sql("n")} AS ts_next, type_next,
-       {seconds_sql("n")} - {seconds_sql("ts")} AS gap
+       {gap_sql("n", "ts")} AS gap
 FROM led""",
-    "next_event_busy_keys": _next_sql(_SLIM, "event_type", "user_id", "user_next"),
+    "next_event_busy_keys": _next_sql(_SLIM, "event_type", "CAST(user_id AS DOUBLE)", "user_next"),
     "utc_next_event": f"""{UTC_NEXT_SQL}
 SELECT event_id, place, CAST(day AS VARCHAR) AS day, hhmm, kind, value, {stamp_sql("instant")} AS instant,
-       {stamp_sql("n")} AS instant_next, kind_next, {seconds_sql("n")} - {seconds_sql("instant")} AS gap
+       {stamp_sql("n")} AS instant_next, kind_next, {gap_sql("n", "instant")} AS gap
 FROM led""",
     "first_per_key": f"""
 SELECT event_id, user_id, event_type, {stamp_sql("ts")} AS ts

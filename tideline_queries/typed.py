@@ -36,7 +36,7 @@ def try_cast_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
         ColumnSpec("digit", "bigint"),
         ColumnSpec("kind", "date"),
     )
-    return shown(project_typed(rows, specs))
+    return shown(project_typed(rows, specs), ("pair", "digit"))
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,8 +78,8 @@ SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate, l_orderkey,
 FROM lineitem""",
     "try_cast_projection": """
 SELECT CAST(event_id AS INTEGER) AS event_id,
-       TRY_CAST(substr(props, 7, 2) AS INTEGER) AS pair,
-       TRY_CAST(substr(props, 8, 1) AS BIGINT) AS digit,
+       CAST(TRY_CAST(substr(props, 7, 2) AS INTEGER) AS DOUBLE) AS pair,
+       CAST(TRY_CAST(substr(props, 8, 1) AS BIGINT) AS DOUBLE) AS digit,
        CAST(TRY_CAST(event_type AS DATE) AS VARCHAR) AS kind
 FROM events""",
     "column_catalog": _catalog_sql(),
