@@ -30,12 +30,12 @@ def table(spark, request):
     spark.sql(f"DROP TABLE IF EXISTS {name}")
 
 
-def loader(spark, table, **more):
+def loader(spark, table, columns=COLUMNS, **more):
     zones = spark.createDataFrame(
         [("A", "America/New_York"), ("B", "Europe/Madrid"), ("C", "Asia/Kolkata")],
         "iata_code string, iana_tz string",
     )
-    return DailyLoad(LoadConfig(COLUMNS, table, tie_break=("Id",), **more), zones)
+    return DailyLoad(LoadConfig(columns, table, tie_break=("Id",), **more), zones)
 
 
 OFFSETS = {"A": -5, "B": 1, "C": 5.5}
@@ -143,7 +143,8 @@ def test_files_with_explicit_path_and_new_column(spark, table, tmp_path):
     load.run(write(1))
     assert sorted(p.name for p in (tmp_path / "out").iterdir() if p.is_dir()) == [
         "FlightDate=2023-01-01", "FlightDate=2023-01-02"]
-    wider = DailyLoad(LoadConfig((*COLUMNS, ColumnSpec("Gate", "string", "it's a gate")), table, tie_break=("Id",)), load.zones)
+    specs = (*COLUMNS, ColumnSpec("Gate", "string", "it's a gate"))
+    wider = loader(spark, table, specs)
     wider.run(write(2, Gate="G1"))
     got = {r.Id: (r.Gate, r.diff_next) for r in spark.table(table).collect()}
     assert got == {0: (None, 3600), 1: (None, 82800), 10: (None, 3600), 11: (None, 82800), 20: ("G1", 3600), 21: ("G1", None)}

@@ -3,6 +3,7 @@
 from tideline.functions import gap_seconds, local_clock, rolled_day, to_utc
 from tideline.operators import (
     ColumnSpec,
+    ZoneLookup,
     align_union,
     attach_zone,
     column_catalog,
@@ -12,6 +13,7 @@ from tideline.operators import (
     next_event,
     project_typed,
     quality_report,
+    zone_lookup,
 )
 from tideline.plans import DailyLoad, LoadConfig, overwrite_days
 from tideline.session import build_session, check_session, shared_folder
@@ -28,6 +30,7 @@ __all__ = [
     "ColumnSpec",
     "DailyLoad",
     "LoadConfig",
+    "ZoneLookup",
     "align_union",
     "attach_zone",
     "build_session",
@@ -51,4 +54,5 @@ __all__ = [
     "rolled_day",
     "shared_folder",
     "to_utc",
+    "zone_lookup",
 ]

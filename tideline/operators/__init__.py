@@ -1,5 +1,5 @@
 from tideline.operators.flatten import flatten
-from tideline.operators.localtime import attach_zone, local_to_utc
+from tideline.operators.localtime import ZoneLookup, attach_zone, local_to_utc, zone_lookup
 from tideline.operators.projection import ColumnSpec, column_catalog, project_typed
 from tideline.operators.quality import first_per_key, quality_report
 from tideline.operators.sequence import next_event
@@ -7,6 +7,7 @@ from tideline.operators.union import align_union
 
 __all__ = [
     "ColumnSpec",
+    "ZoneLookup",
     "align_union",
     "attach_zone",
     "column_catalog",
@@ -16,4 +17,5 @@ __all__ = [
     "next_event",
     "project_typed",
     "quality_report",
+    "zone_lookup",
 ]

@@ -2,20 +2,56 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, functions as F
 
 from tideline.functions.clock import local_clock, rolled_day, to_utc
 from tideline.operators.naming import column
-from tideline.session import check_session
+from tideline.session import check_session, shared_folder
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 SALTS = 32
 
 
+@dataclass(frozen=True)
+class ZoneLookup:
+    """One zone per code (``_code``, ``_zone``), and whether it may be broadcast."""
+
+    rows: DataFrame
+    small: bool
+
+
+def zone_lookup(
+    zones: DataFrame,
+    code: str = "iata_code",
+    zone: str = "iana_tz",
+    broadcast_rows: int = BROADCAST_ROWS,
+    keep: bool = False,
+) -> ZoneLookup:
+    """Make a lookup ready for joining; its size is measured once.
+
+    Of several zones listed for a code the alphabetically first one counts.
+    ``keep`` stores the result in the shared folder, for use in many joins.
+    """
+    listed = zones.select(column(code).alias("_code"), column(zone).alias("_zone"))
+    listed = listed.where(F.col("_code").isNotNull())
+    unique = listed.groupBy("_code").agg(F.min("_zone").alias("_zone"))
+    if keep:
+        shared_folder(zones.sparkSession)
+        unique = unique.checkpoint()
+    length = F.octet_length(F.col("_code").cast("string")) + F.octet_length("_zone")
+    size = (unique if keep else listed).agg(
+        F.count("*").alias("rows"), F.coalesce(F.sum(length), F.lit(0)).alias("bytes")
+    )
+    found = size.first()
+    return ZoneLookup(unique, found.rows <= broadcast_rows and found.bytes <= BROADCAST_BYTES)
+
+
 def attach_zone(
     df: DataFrame,
-    zones: DataFrame,
+    zones: DataFrame | ZoneLookup,
     key: str,
     out: str = "zone",
     code: str = "iata_code",
@@ -24,48 +60,33 @@ def attach_zone(
 ) -> DataFrame:
     """Left join of a place column with the place -> time zone lookup.
 
-    Every row stays once: a place that is not listed gets a null zone, and of
-    several zones listed for a place the alphabetically first one counts.
-    The lookup is broadcast if it is found to be small; otherwise the rows of
-    a place are spread over several tasks, so that a busy one does no harm.
+    Every row stays once; a place that is not listed gets a null zone. The
+    lookup is broadcast if it is found to be small; otherwise the rows of a
+    place are spread over several tasks, so that a busy one does no harm.
     """
     if out in df.columns:
         raise ValueError(f"column {out!r} is there already")
-    lookup = zones.select(column(code).alias("_code"), column(zone).alias("_zone")).where(
-        F.col("_code").isNotNull()
-    )
-    unique = lookup.groupBy("_code").agg(F.min("_zone").alias("_zone"))
+    if isinstance(zones, DataFrame):
+        zones = zone_lookup(zones, code, zone, broadcast_rows)
     matches = column(key) == F.col("_code")
     kept = [column(c) for c in df.columns]
-    if _fits(lookup, broadcast_rows):
-        joined = df.join(F.broadcast(unique), matches, "left")
+    if zones.small:
+        joined = df.join(F.broadcast(zones.rows), matches, "left")
     else:
         # Rows of one place are dealt out by their content, so a busy place or
         # a heap of rows without one is no hot task. What is left uneven
         # (copies of one row) is for AQE to split, as salted rows never
         # satisfy a later grouping by place alone.
         salted = df.withColumn("_salt", F.pmod(F.xxhash64(*kept), F.lit(SALTS)))
-        copies = unique.withColumn("_lookup_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = salted.join(
-            copies, matches & (F.col("_salt") == F.col("_lookup_salt").cast("long")), "left"
-        )
+        salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
+        copies = zones.rows.withColumn("_lookup_salt", salts)
+        joined = salted.join(copies, matches & (F.col("_salt") == F.col("_lookup_salt")), "left")
     return joined.select(*kept, F.col("_zone").alias(out))
 
 
-def _fits(lookup: DataFrame, rows: int) -> bool:
-    """Whether rows and bytes of a lookup are within what may be broadcast."""
-    size = F.octet_length(F.col("_code").cast("string")) + F.octet_length("_zone")
-    found = (
-        lookup.limit(rows + 1)
-        .agg(F.count("*").alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("bytes"))
-        .first()
-    )
-    return found.n <= rows and found.bytes <= BROADCAST_BYTES
-
-
 def local_to_utc(
     df: DataFrame,
-    zones: DataFrame,
+    zones: DataFrame | ZoneLookup,
     key: str = "Origin",
     day: str = "FlightDate",
     clock: str = "DepTime",

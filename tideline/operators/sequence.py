@@ -38,24 +38,31 @@ def next_event(
 
     Keys are counted first (one narrow pass, partial counts before the
     shuffle). Keys with more than ``rows_per_task`` rows are cut into ranges
-    of time; ``None`` leaves out the count and never cuts.
+    of time; ``None`` leaves out the count and never cuts. As the rows are
+    read more than once, give stored rows rather than a long computation.
     """
     keys, ties = as_list(partition_by), list(tie_break)
     carry = {"Reporting_Airline": "Airline_next"} if carry is None else dict(carry)
     made = [f"{order_by}_next", *carry.values(), gap]
     base = df.select(*[column(c) for c in df.columns if c not in made])
     follower = _follower(order_by, carry, day)
-    order = _order(order_by, ties, skip_null_times)
+    order = [column(c).asc_nulls_first() for c in [order_by, *ties]]
 
+    untimed = None
+    if skip_null_times:
+        # They take no part, so they need no shuffle, however many they are.
+        untimed = base.where(column(order_by).isNull())
+        base = base.where(column(order_by).isNotNull())
     busy = _busy_keys(base, keys, rows_per_task)
     if busy is None:
         window = Window.partitionBy(*[column(k) for k in keys]).orderBy(*order)
         found = base.withColumn(_NEXT, F.lead(follower).over(window))
     else:
-        found = _with_busy_keys(
-            base, keys, order_by, ties, order, follower, skip_null_times, busy, rows_per_task
-        )
-    return _unpack(found, base.columns, order_by, carry, gap, skip_null_times, day, max_day_gap)
+        found = _with_busy_keys(base, keys, order_by, ties, order, follower, busy, rows_per_task)
+    if untimed is not None:
+        nothing = F.lit(None).cast(found.schema[_NEXT].dataType)
+        found = found.unionByName(untimed.withColumn(_NEXT, nothing))
+    return _unpack(found, base.columns, order_by, carry, gap, day, max_day_gap)
 
 
 def _follower(order_by: str, carry: Mapping[str, str], day: str | None) -> Column:
@@ -66,29 +73,19 @@ def _follower(order_by: str, carry: Mapping[str, str], day: str | None) -> Colum
     return F.struct(*parts)
 
 
-def _order(order_by: str, ties: list[str], skip_null_times: bool) -> list[Column]:
-    time = column(order_by)
-    first = time.asc_nulls_last() if skip_null_times else time.asc_nulls_first()
-    return [first, *[column(t).asc_nulls_first() for t in ties]]
-
-
 def _unpack(
     found: DataFrame,
     columns: list[str],
     order_by: str,
     carry: Mapping[str, str],
     gap: str,
-    skip_null_times: bool,
     day: str | None,
     max_day_gap: int | None,
 ) -> DataFrame:
     successor = F.col(_NEXT)
-    valid = F.lit(True)
-    if skip_null_times:
-        valid = column(order_by).isNotNull() & successor.getField("time").isNotNull()
     if day is not None and max_day_gap is not None:
-        valid = valid & (F.date_diff(successor.getField("day"), column(day)) <= max_day_gap)
-    successor = F.when(valid, successor)
+        days_away = F.date_diff(successor.getField("day"), column(day))
+        successor = F.when(days_away <= max_day_gap, successor)
     time_next = successor.getField("time")
     return found.select(
         *[column(c) for c in columns],
@@ -115,7 +112,6 @@ def _with_busy_keys(
     ties: list[str],
     order: list[Column],
     follower: Column,
-    skip_null_times: bool,
     busy: DataFrame,
     rows_per_task: int,
 ) -> DataFrame:
@@ -144,12 +140,11 @@ def _with_busy_keys(
     )
 
     # First event of each range: at most one row per range plus one per key.
-    starts = pinned.where(column(order_by).isNotNull()) if skip_null_times else pinned
     place = F.struct(column(order_by), *[column(t) for t in ties], F.col(_POSITION))
     head_keys = [column(k).alias(f"_k{i}") for i, k in enumerate(keys)]
     by_key = Window.partitionBy(*[f"_k{i}" for i in range(len(keys))]).orderBy("_s")
     heads = (
-        starts.groupBy(*head_keys, F.col(_SEGMENT).alias("_s"))
+        pinned.groupBy(*head_keys, F.col(_SEGMENT).alias("_s"))
         .agg(F.min_by(follower, place).alias("_first"))
         .withColumn(_HEAD, F.lead("_first").over(by_key))
         .drop("_first")

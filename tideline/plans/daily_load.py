@@ -9,7 +9,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import StructType
 
-from tideline.operators.localtime import local_to_utc
+from tideline.operators.localtime import local_to_utc, zone_lookup
 from tideline.operators.naming import column
 from tideline.operators.quality import first_per_key
 from tideline.operators.sequence import next_event
@@ -45,9 +45,9 @@ class DailyLoad:
 
     def __init__(self, config: LoadConfig, zones: DataFrame):
         self.config = config
-        self.zones = zones
         self.spark: SparkSession = zones.sparkSession
         check_session(self.spark)
+        self.zones = zone_lookup(zones, config.zone_code, config.zone_name, keep=True)
 
     def run(self, path: str | list[str]) -> list[date]:
         """Load files; gives the days that were written."""
@@ -62,15 +62,15 @@ class DailyLoad:
         """Load flat, typed rows."""
         c = self.config
         timed = local_to_utc(
-            events, self.zones, c.key, c.day, c.clock, c.time, c.zone_code, c.zone_name, c.roll_2400
+            events, self.zones, c.key, c.day, c.clock, c.time, roll_2400=c.roll_2400
         )
         with staged(timed) as batch:
-            days = [r[0] for r in batch.select(column(c.day)).distinct().collect()]
-            if None in days:
+            sizes = self._rows_per_day(batch)
+            if None in sizes:
                 raise ValueError(f"rows without {c.day} belong to no day of the table")
-            if not days:
+            if not sizes:
                 return []
-            rows, written = self._with_neighbours(batch, days)
+            rows, written = self._with_neighbours(batch, sizes)
             # The window leaves the rows of a day in a few large pieces; only
             # a load of many days has to gather them once more.
             overwrite_days(
@@ -79,25 +79,34 @@ class DailyLoad:
             )
         return sorted(written)
 
-    def _with_neighbours(self, batch: DataFrame, days: list[date]) -> tuple[DataFrame, list[date]]:
+    def _rows_per_day(self, rows: DataFrame) -> dict[date, int]:
+        counted = rows.groupBy(column(self.config.day).alias("d")).agg(F.count("*").alias("n"))
+        return {r.d: r.n for r in counted.collect()}
+
+    def _with_neighbours(
+        self, batch: DataFrame, sizes: dict[date, int]
+    ) -> tuple[DataFrame, list[date]]:
         """Rows to write, successors set, and the days they are of."""
         c = self.config
+        days = sorted(sizes)
         near = neighbouring_days(days, c.lookback_days, c.lookback_days)
-        stored = day_slice(self.spark, c.output_table, near, c.day)
-        if stored is None:
-            return self._successors(batch), days
-        earlier = set(neighbouring_days(days, c.lookback_days, 0))
-        found = self._changed(batch, stored)
-        stale = [d for d in found if d in earlier and found[d]]
-        ahead = [d for d in found if d not in days and d not in stale]
+        table = day_slice(self.spark, c.output_table, [*days, *near], c.day)
+        if table is None:
+            return self._successors(batch, sum(sizes.values())), days
+        # Counts by partition: no column is read for them.
+        found = self._rows_per_day(table)
+        stored = table.where(column(c.day).isin([d for d in near if d in found]))
+        stale = self._stale(batch, stored, days, set(found))
+        ahead = [d for d in near if d in found and d not in stale]
 
         schema = evolved_schema(self.spark, c.output_table, batch, c.day)
         schema = StructType([f for f in schema.fields if f.name not in c.next_columns])
         rows = align_to(batch, schema)
         if stale:
             rows = rows.unionByName(align_to(stored.where(column(c.day).isin(stale)), schema))
+        total = sum(sizes.values()) + sum(found[d] for d in [*stale, *ahead])
         if not ahead:
-            return self._successors(rows), [*days, *stale]
+            return self._successors(rows, total), [*days, *stale]
         # Of the days that stay as they are only the first event per key can
         # be a successor; it takes part and is left out again afterwards.
         firsts = first_per_key(
@@ -110,14 +119,17 @@ class DailyLoad:
         marked = rows.withColumn(_CONTEXT, F.lit(False)).unionByName(
             align_to(firsts, schema).withColumn(_CONTEXT, F.lit(True))
         )
-        done = self._successors(marked).where(~F.col(_CONTEXT)).drop(_CONTEXT)
+        done = self._successors(marked, total).where(~F.col(_CONTEXT)).drop(_CONTEXT)
         return done, [*days, *stale]
 
-    def _successors(self, rows: DataFrame) -> DataFrame:
+    def _successors(self, rows: DataFrame, total: int) -> DataFrame:
         c = self.config
+        limit = c.rows_per_task
+        if limit is not None and total <= limit:
+            limit = None  # no key can have more rows than there are
         return next_event(
             rows, c.key, c.time, c.carry, c.gap, [c.day, *c.tie_break], True,
-            c.day, c.lookback_days, c.rows_per_task,
+            c.day, c.lookback_days, limit,
         )
 
     def _sequence_columns(self) -> list[Column]:
@@ -125,6 +137,17 @@ class DailyLoad:
         names = dict.fromkeys([c.key, c.day, c.time, *c.tie_break, *c.carry])
         return [column(n) for n in names]
 
+    def _stale(
+        self, batch: DataFrame, stored: DataFrame, days: list[date], found: set[date]
+    ) -> list[date]:
+        """Stored earlier days in which a successor changes."""
+        earlier = [d for d in neighbouring_days(days, self.config.lookback_days, 0) if d in found]
+        if not earlier or (len(earlier) == 1 and found.isdisjoint(days)):
+            # Next to a day that is new, the day before is as good as sure to change.
+            return earlier
+        changed = self._changed(batch, stored)
+        return [d for d in earlier if changed.get(d)]
+
     def _changed(self, batch: DataFrame, stored: DataFrame) -> dict[date, bool]:
         """Days near the batch, and whether a stored successor no longer holds.
 
