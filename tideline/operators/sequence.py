@@ -14,7 +14,10 @@ from tideline.session import shared_folder
 # Rows of one key that a single task may sort; beyond it the key is cut up.
 ROWS_PER_TASK = 5_000_000
 
-_NEXT, _HEAD, _SEGMENT, _POSITION = "_next", "_head", "_segment", "_position"
+# Groups that rows without a time are dealt out over
+_UNTIMED_GROUPS = 65_536
+
+_NEXT, _HEAD, _SEGMENT, _POSITION, _APART = "_next", "_head", "_segment", "_position", "_apart"
 
 
 def next_event(
@@ -48,21 +51,21 @@ def next_event(
     follower = _follower(order_by, carry, day)
     order = [column(c).asc_nulls_first() for c in [order_by, *ties]]
 
-    untimed = None
+    groups, rows = keys, base
     if skip_null_times:
-        # They take no part, so they need no shuffle, however many they are.
-        untimed = base.where(column(order_by).isNull())
-        base = base.where(column(order_by).isNotNull())
-    busy = _busy_keys(base, keys, rows_per_task)
+        # Rows without a time belong to no sequence; they are dealt out over
+        # many groups of their own, so that they are nobody's burden.
+        content = F.xxhash64(*[column(c) for c in [*keys, *ties, *carry]])
+        apart = F.when(column(order_by).isNull(), F.pmod(content, F.lit(_UNTIMED_GROUPS)))
+        rows = base.withColumn(_APART, apart)
+        groups = [*keys, _APART]
+    busy = _busy_keys(rows, groups, rows_per_task)
     if busy is None:
-        window = Window.partitionBy(*[column(k) for k in keys]).orderBy(*order)
-        found = base.withColumn(_NEXT, F.lead(follower).over(window))
+        window = Window.partitionBy(*[column(k) for k in groups]).orderBy(*order)
+        found = rows.withColumn(_NEXT, F.lead(follower).over(window))
     else:
-        found = _with_busy_keys(base, keys, order_by, ties, order, follower, busy, rows_per_task)
-    if untimed is not None:
-        nothing = F.lit(None).cast(found.schema[_NEXT].dataType)
-        found = found.unionByName(untimed.withColumn(_NEXT, nothing))
-    return _unpack(found, base.columns, order_by, carry, gap, day, max_day_gap)
+        found = _with_busy_keys(rows, groups, order_by, ties, order, follower, busy, rows_per_task)
+    return _unpack(found, base.columns, order_by, carry, gap, skip_null_times, day, max_day_gap)
 
 
 def _follower(order_by: str, carry: Mapping[str, str], day: str | None) -> Column:
@@ -79,10 +82,13 @@ def _unpack(
     order_by: str,
     carry: Mapping[str, str],
     gap: str,
+    skip_null_times: bool,
     day: str | None,
     max_day_gap: int | None,
 ) -> DataFrame:
     successor = F.col(_NEXT)
+    if skip_null_times:
+        successor = F.when(column(order_by).isNotNull(), successor)
     if day is not None and max_day_gap is not None:
         days_away = F.date_diff(successor.getField("day"), column(day))
         successor = F.when(days_away <= max_day_gap, successor)
