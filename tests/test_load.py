@@ -87,7 +87,10 @@ def test_three_days_in_any_order(spark, table, order):
 def test_random_batches_and_reloads(spark, table, seed):
     rnd = random.Random(seed)
     lookback = rnd.choice([1, 2, 3])
-    load = loader(spark, table, lookback_days=lookback, rows_per_task=rnd.choice([None, 3, 1000]))
+    load = loader(
+        spark, table, lookback_days=lookback,
+        rows_per_task=rnd.choice([None, 3, 1000]), broadcast_rows=rnd.choice([0, 1000]),
+    )
     truth = {}
     for step in range(7):
         chosen = rnd.sample(range(8), rnd.choice([1, 1, 2, 3]))

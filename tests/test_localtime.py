@@ -115,3 +115,18 @@ def test_departure_after_midnight(spark, clock, delay, expected):
                                "Origin string, FlightDate date, DepTime int, DepDelay int")
     out = local_to_utc(df, zones(spark), delay="DepDelay").select(F.col("FlightTime").cast("string"))
     assert text(out) == [expected]
+
+
+def test_busy_place_is_not_shuffled_when_the_lookup_is_large(spark):
+    """A third in one place, a third nowhere; both are left where they are."""
+    place = F.when(F.col("id") % 3 == 0, "A").when(F.col("id") % 3 == 1, F.concat(F.lit("p"), F.col("id") % 7))
+    rows = spark.range(3000).select(place.alias("Origin"), (F.col("id") % 2).alias("n"))
+    lookup = zones(spark, ("A", "Z/1"), ("p1", "Z/2"), ("p2", "Z/3"))
+    counts = {}
+    for limit in (None, 500):
+        out = attach_zone(rows, lookup, "Origin", broadcast_rows=0, rows_per_task=limit)
+        counts[limit] = {tuple(r[:3]): r[3] for r in out.groupBy("Origin", "n", "zone").count().collect()}
+    small = attach_zone(rows, lookup, "Origin").groupBy("Origin", "n", "zone").count().collect()
+    assert counts[None] == counts[500] == {tuple(r[:3]): r[3] for r in small}
+    assert sum(v for k, v in counts[500].items() if k[2] == "Z/1") == 1000
+    assert "BroadcastHashJoin" in out._jdf.queryExecution().toString()

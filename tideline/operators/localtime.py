@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tideline.functions.clock import local_clock, rolled_day, to_utc
 from tideline.operators.naming import column
+from tideline.operators.skew import ROWS_PER_TASK, busy_keys, key_matches
 from tideline.session import check_session, shared_folder
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
-SALTS = 32
 
 
 @dataclass(frozen=True)
@@ -57,31 +57,46 @@ def attach_zone(
     code: str = "iata_code",
     zone: str = "iana_tz",
     broadcast_rows: int = BROADCAST_ROWS,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Left join of a place column with the place -> time zone lookup.
 
     Every row stays once; a place that is not listed gets a null zone. The
-    lookup is broadcast if it is found to be small; otherwise the rows of a
-    place are spread over several tasks, so that a busy one does no harm.
+    lookup is broadcast if it is found to be small. Otherwise rows and lookup
+    are shuffled by place, but for rows without a place and places with
+    more than ``rows_per_task`` rows: these never move. In that case the
+    rows are read several times, so give stored ones.
     """
     if out in df.columns:
         raise ValueError(f"column {out!r} is there already")
     if isinstance(zones, DataFrame):
         zones = zone_lookup(zones, code, zone, broadcast_rows)
     matches = column(key) == F.col("_code")
-    kept = [column(c) for c in df.columns]
     if zones.small:
         joined = df.join(F.broadcast(zones.rows), matches, "left")
     else:
-        # Rows of one place are dealt out by their content, so a busy place or
-        # a heap of rows without one is no hot task. What is left uneven
-        # (copies of one row) is for AQE to split, as salted rows never
-        # satisfy a later grouping by place alone.
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(*kept), F.lit(SALTS)))
-        salts = F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))
-        copies = zones.rows.withColumn("_lookup_salt", salts)
-        joined = salted.join(copies, matches & (F.col("_salt") == F.col("_lookup_salt")), "left")
-    return joined.select(*kept, F.col("_zone").alias(out))
+        joined = _join_large(df, zones.rows, key, matches, rows_per_task)
+    return joined.select(*[column(c) for c in df.columns], F.col("_zone").alias(out))
+
+
+def _join_large(
+    df: DataFrame, lookup: DataFrame, key: str, matches: Column, rows_per_task: int | None
+) -> DataFrame:
+    nowhere = df.where(column(key).isNull()).withColumn("_zone", F.lit(None).cast("string"))
+    placed = df.where(column(key).isNotNull())
+    busy = busy_keys(placed, [key], rows_per_task)
+    if busy is None:
+        found = placed.join(lookup, matches, "left")
+    else:
+        # A zone per busy place, of which there are few, is small whatever the lookup.
+        marks = F.broadcast(busy.drop("_rows"))
+        few = lookup.join(marks, F.col("_code") == F.col("_k0"), "left_semi")
+        crowd = placed.join(marks, key_matches([key]), "left_semi")
+        others = placed.join(marks, key_matches([key]), "left_anti")
+        found = crowd.join(F.broadcast(few), matches, "left").unionByName(
+            others.join(lookup, matches, "left")
+        )
+    return found.drop("_code").unionByName(nowhere)
 
 
 def local_to_utc(
@@ -96,6 +111,7 @@ def local_to_utc(
     roll_2400: bool = False,
     delay: str | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
+    rows_per_task: int | None = ROWS_PER_TASK,
 ) -> DataFrame:
     """Add ``out``, the UTC instant of a local date and ``hhmm`` clock, as last column.
 
@@ -104,7 +120,7 @@ def local_to_utc(
     departure after midnight gets the day it really left on.
     """
     check_session(df.sparkSession)
-    zoned = attach_zone(df, zones, key, "_place_zone", code, zone, broadcast_rows)
+    zoned = attach_zone(df, zones, key, "_place_zone", code, zone, broadcast_rows, rows_per_task)
     date = column(day).cast("date")
     if delay is not None:
         date = rolled_day(date, column(clock), column(delay))

@@ -9,11 +9,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tideline.functions.clock import gap_seconds
 from tideline.operators.naming import as_list, column
+from tideline.operators.skew import ROWS_PER_TASK, busy_keys, key_matches
 from tideline.session import shared_folder
 
-# Rows of one key that a single task may sort; beyond it the key is cut up.
-ROWS_PER_TASK = 5_000_000
-
 # Groups that rows without a time are dealt out over
 _UNTIMED_GROUPS = 65_536
 
@@ -59,7 +57,7 @@ def next_event(
         apart = F.when(column(order_by).isNull(), F.pmod(content, F.lit(_UNTIMED_GROUPS)))
         rows = base.withColumn(_APART, apart)
         groups = [*keys, _APART]
-    busy = _busy_keys(rows, groups, rows_per_task)
+    busy = busy_keys(rows, groups, rows_per_task)
     if busy is None:
         window = Window.partitionBy(*[column(k) for k in groups]).orderBy(*order)
         found = rows.withColumn(_NEXT, F.lead(follower).over(window))
@@ -101,16 +99,6 @@ def _unpack(
     )
 
 
-def _busy_keys(df: DataFrame, keys: list[str], rows_per_task: int | None) -> DataFrame | None:
-    """Keys with more rows than one task should sort; at most rows / rows_per_task of them."""
-    if rows_per_task is None:
-        return None
-    counted = df.groupBy(*[column(k) for k in keys]).agg(F.count("*").alias("_rows"))
-    busy = counted.where(F.col("_rows") > rows_per_task)
-    found = busy.collect()
-    return df.sparkSession.createDataFrame(found, busy.schema) if found else None
-
-
 def _with_busy_keys(
     df: DataFrame,
     keys: list[str],
@@ -124,12 +112,9 @@ def _with_busy_keys(
     """Plain window for most keys, ranges of (time, ties) for the busy ones."""
     shared_folder(df.sparkSession)
     key_columns = [column(k) for k in keys]
-    marks = busy.select(*[column(k).alias(f"_k{i}") for i, k in enumerate(keys)])
-    is_busy = F.lit(True)
-    for i, k in enumerate(keys):
-        is_busy = is_busy & column(k).eqNullSafe(F.col(f"_k{i}"))
-
-    quiet = df.join(F.broadcast(marks), is_busy, "left_anti")
+    marks = F.broadcast(busy.drop("_rows"))
+    is_busy = key_matches(keys)
+    quiet = df.join(marks, is_busy, "left_anti")
     window = Window.partitionBy(*key_columns).orderBy(*order)
     quiet = quiet.withColumn(_NEXT, F.lead(follower).over(window))
 
@@ -138,7 +123,7 @@ def _with_busy_keys(
     total = busy.agg(F.sum("_rows")).first()[0]
     segments = max(2, math.ceil(2 * total / rows_per_task))
     pinned = (
-        df.join(F.broadcast(marks), is_busy, "left_semi")
+        df.join(marks, is_busy, "left_semi")
         .withColumn(_POSITION, F.monotonically_increasing_id())
         .repartitionByRange(segments, *key_columns, *order, F.col(_POSITION))
         .withColumn(_SEGMENT, F.spark_partition_id())

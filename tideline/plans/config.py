@@ -11,7 +11,8 @@ from typing import Any
 from pyspark.sql.types import StructType
 
 from tideline.operators.projection import ColumnSpec
-from tideline.operators.sequence import ROWS_PER_TASK
+from tideline.operators.localtime import BROADCAST_ROWS
+from tideline.operators.skew import ROWS_PER_TASK
 
 
 @dataclass(frozen=True)
@@ -44,6 +45,8 @@ class LoadConfig:
     on_error: str = "null"
     multiline: bool = False
     json_schema: StructType | str | None = None
+    # Largest lookup to broadcast, and most rows of one key in a single task
+    broadcast_rows: int = BROADCAST_ROWS
     rows_per_task: int | None = ROWS_PER_TASK
 
     def __post_init__(self) -> None:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import ExitStack, contextmanager
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -47,7 +47,9 @@ class DailyLoad:
         self.config = config
         self.spark: SparkSession = zones.sparkSession
         check_session(self.spark)
-        self.zones = zone_lookup(zones, config.zone_code, config.zone_name, keep=True)
+        self.zones = zone_lookup(
+            zones, config.zone_code, config.zone_name, config.broadcast_rows, keep=True
+        )
 
     def run(self, path: str | list[str]) -> list[date]:
         """Load files; gives the days that were written."""
@@ -61,10 +63,15 @@ class DailyLoad:
     def load(self, events: DataFrame) -> list[date]:
         """Load flat, typed rows."""
         c = self.config
-        timed = local_to_utc(
-            events, self.zones, c.key, c.day, c.clock, c.time, roll_2400=c.roll_2400
-        )
-        with staged(timed) as batch:
+        with ExitStack() as stages:
+            if not self.zones.small:
+                # The join will read the rows more than once.
+                events = stages.enter_context(staged(events))
+            timed = local_to_utc(
+                events, self.zones, c.key, c.day, c.clock, c.time,
+                roll_2400=c.roll_2400, rows_per_task=c.rows_per_task,
+            )
+            batch = stages.enter_context(staged(timed))
             sizes = self._rows_per_day(batch)
             if None in sizes:
                 raise ValueError(f"rows without {c.day} belong to no day of the table")

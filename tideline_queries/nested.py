@@ -80,6 +80,24 @@ def flatten_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flatten(nested, maps="explode")
 
 
+def flatten_map_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nested = read(spark, sf_dir, "customer").select(
+        "c_custkey",
+        F.create_map(F.lit("segment"), F.col("c_mktsegment")).alias("attribute"),
+        F.struct("c_name", "c_acctbal").alias("detail"),
+    )
+    return flatten(nested, maps="drop")
+
+
+def flatten_prefixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two structs with a field of the same name."""
+    nested = read(spark, sf_dir, "lineitem").select(
+        F.struct(F.col("l_orderkey").alias("key"), F.col("l_linenumber").alias("line")).alias("order"),
+        F.struct(F.col("l_partkey").alias("key"), F.col("l_quantity").alias("pieces")).alias("part"),
+    )
+    return flatten(nested, on_duplicate="prefix")
+
+
 _LINE_SPECS = (
     ColumnSpec("order_key", "bigint", "order"),
     ColumnSpec("line", "int", "line of the order"),
@@ -125,6 +143,8 @@ QUERIES = {
     "flatten_deep": flatten_deep,
     "flatten_siblings": flatten_siblings,
     "flatten_map": flatten_map,
+    "flatten_map_dropped": flatten_map_dropped,
+    "flatten_prefixed": flatten_prefixed,
     "ingest_json": ingest_json,
     "ingest_json_inferred": ingest_json_inferred,
 }
@@ -151,6 +171,10 @@ SELECT o_orderkey, label, measure, amount FROM labels JOIN measures USING (o_ord
     "flatten_map": """
 SELECT o_orderkey, 'status' AS attribute_key, o_orderstatus AS attribute_value FROM orders
 UNION ALL SELECT o_orderkey, 'priority', o_orderpriority FROM orders""",
+    "flatten_map_dropped": "SELECT c_custkey, c_name, c_acctbal FROM customer",
+    "flatten_prefixed": """
+SELECT l_orderkey AS order_key, l_linenumber AS line, l_partkey AS part_key, l_quantity AS pieces
+FROM lineitem""",
     "ingest_json": _CHARGES_SQL,
     "ingest_json_inferred": _CHARGES_OUTER_SQL,
 }
