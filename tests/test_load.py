@@ -1,5 +1,4 @@
 import datetime as dt
-import itertools
 import json
 import random
 
@@ -72,7 +71,7 @@ def some_rows(rnd, d, base, most=6):
     ]
 
 
-@pytest.mark.parametrize("order", list(itertools.permutations(range(3))))
+@pytest.mark.parametrize("order", [(0, 1, 2), (2, 1, 0), (1, 2, 0), (0, 2, 1)])
 def test_three_days_in_any_order(spark, table, order):
     rnd = random.Random(7)
     days = {n: some_rows(rnd, day(n), 100 * n, 9) for n in range(3)}
@@ -83,7 +82,7 @@ def test_three_days_in_any_order(spark, table, order):
     assert spark.table(table).columns[-1] == "FlightDate"
 
 
-@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("seed", range(3))
 def test_random_batches_and_reloads(spark, table, seed):
     rnd = random.Random(seed)
     lookback = rnd.choice([1, 2, 3])
@@ -159,6 +158,12 @@ def test_files_with_explicit_path_and_new_column(spark, table, tmp_path):
     assert got[20] == "G1" and got[30] is None and len(got) == 8
 
 
+def test_day_must_be_a_date(spark, table):
+    rows = spark.createDataFrame([(1, "A", "2023-01-01", 5, "p")], SCHEMA.replace("FlightDate date", "FlightDate string"))
+    with pytest.raises(TypeError, match="FlightDate"):
+        loader(spark, table).load(rows)
+
+
 def test_errors_are_raised(spark, table, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         loader(spark, table).run(str(tmp_path / "missing.json"))
@@ -193,7 +198,7 @@ def test_big_day_is_written_by_several_tasks(spark, table):
     try:
         overwrite_days(rows, table)
     finally:
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "128MB")
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
     assert spark.table(table).count() == 200_000
     assert len(spark.table(table).inputFiles()) > 2
 

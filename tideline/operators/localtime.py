@@ -121,7 +121,7 @@ def local_to_utc(
     """
     check_session(df.sparkSession)
     zoned = attach_zone(df, zones, key, "_place_zone", code, zone, broadcast_rows, rows_per_task)
-    date = column(day).cast("date")
+    date = column(day).try_cast("date")
     if delay is not None:
         date = rolled_day(date, column(clock), column(delay))
     instant = to_utc(local_clock(date, column(clock), roll_2400), F.col("_place_zone"))

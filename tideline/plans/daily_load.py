@@ -7,7 +7,7 @@ from contextlib import ExitStack, contextmanager
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, StructType
 
 from tideline.operators.localtime import local_to_utc, zone_lookup
 from tideline.operators.naming import column
@@ -63,6 +63,8 @@ class DailyLoad:
     def load(self, events: DataFrame) -> list[date]:
         """Load flat, typed rows."""
         c = self.config
+        if not isinstance(events.schema[c.day].dataType, DateType):
+            raise TypeError(f"{c.day} must be a date")
         with ExitStack() as stages:
             if not self.zones.small:
                 # The join will read the rows more than once.

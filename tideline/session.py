@@ -17,11 +17,12 @@ _DEFAULTS = {
     # Follow the advisory size when AQE merges shuffle partitions, so that a
     # big cluster does not write one tiny file per core.
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128MB",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # A daily load writes one or two days: keep a writer open for each
     # instead of sorting the wide rows by day first.
     "spark.sql.maxConcurrentOutputFileWriters": "4",
+    # Remove checkpoint files once nothing refers to them any more.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
