@@ -118,13 +118,16 @@ def _with_busy_keys(
     window = Window.partitionBy(*key_columns).orderBy(*order)
     quiet = quiet.withColumn(_NEXT, F.lead(follower).over(window))
 
-    # Spark samples the range bounds. The position tells equal rows apart, so
-    # even a heap of copies can be cut; the checkpoint pins both.
+    # The position tells equal rows apart, so even a heap of copies can be
+    # cut. It is stored before rows move by it: a task that is run again must
+    # find the same one. So is the range, whose bounds Spark samples.
     total = busy.agg(F.sum("_rows")).first()[0]
     segments = max(2, math.ceil(2 * total / rows_per_task))
+    placed = df.join(marks, is_busy, "left_semi").withColumn(
+        _POSITION, F.monotonically_increasing_id()
+    )
     pinned = (
-        df.join(marks, is_busy, "left_semi")
-        .withColumn(_POSITION, F.monotonically_increasing_id())
+        placed.checkpoint()
         .repartitionByRange(segments, *key_columns, *order, F.col(_POSITION))
         .withColumn(_SEGMENT, F.spark_partition_id())
         .checkpoint()
