@@ -1,3 +1,5 @@
+import random
+
 import pytest
 
 from tideline import flatten
@@ -71,3 +73,55 @@ def test_names_with_dots(spark):
     flat = flatten(df)
     assert flat.columns == ["c.d", "e f"]
     assert flat.first() == (1, 2)
+
+
+def brute_force(record, outer):
+    """Flat rows of (a, b, y, z) by plain loops."""
+
+    def items(values):
+        return [None] if outer and not values else values or []
+
+    out = []
+    for x in items(record["xs"]):
+        for y in items(x["ys"] if x else None):
+            for z in items(record["zs"]):
+                out.append((record["s"]["a"] if record["s"] else None, x["b"] if x else None, y, z))
+    return out
+
+
+@pytest.mark.parametrize("outer", [False, True])
+def test_random_nesting_against_loops(spark, outer):
+    rnd = random.Random(3)
+
+    def some(make):
+        return rnd.choice([None, [], [make() for _ in range(rnd.randrange(1, 4))]])
+
+    def element():
+        return None if rnd.random() < 0.1 else {"b": rnd.randrange(9), "ys": some(lambda: rnd.randrange(9))}
+
+    records = [
+        {
+            "s": rnd.choice([None, {"a": rnd.randrange(9)}]),
+            "xs": some(element),
+            "zs": some(lambda: rnd.choice("pqr")),
+        }
+        for _ in range(200)
+    ]
+    df = spark.createDataFrame(
+        records, "s struct<a:int>, xs array<struct<b:int,ys:array<int>>>, zs array<string>"
+    )
+    flat = flatten(df, outer=outer)
+    assert flat.columns == ["a", "b", "ys", "zs"]
+    wanted = [row for r in records for row in brute_force(r, outer)]
+    assert sorted(map(str, (tuple(r) for r in flat.collect()))) == sorted(map(str, wanted))
+    again = flatten(flat, outer=outer)
+    assert again.schema == flat.schema and again.count() == len(wanted)
+
+
+def test_only_the_needed_fields_are_read(spark, tmp_path):
+    path = str(tmp_path / "nested")
+    spark.range(5).selectExpr(
+        "id", "array(named_struct('b', id, 'unused', id)) AS xs", "struct(id AS spare) AS s"
+    ).write.parquet(path)
+    plan = flatten(spark.read.parquet(path)).select("b")._jdf.queryExecution().executedPlan().toString()
+    assert "unused" not in plan.split("ReadSchema")[1] and "spare" not in plan.split("ReadSchema")[1]

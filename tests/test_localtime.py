@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tideline import attach_zone, local_clock, local_to_utc, read_zones_csv, to_utc
+from tideline import attach_zone, local_clock, local_to_utc, read_zones_csv, to_utc, zone_lookup
 
 DAY = "date'2023-12-25'"
 
@@ -130,3 +130,17 @@ def test_busy_place_is_not_shuffled_when_the_lookup_is_large(spark):
     assert counts[None] == counts[500] == {tuple(r[:3]): r[3] for r in small}
     assert sum(v for k, v in counts[500].items() if k[2] == "Z/1") == 1000
     assert "BroadcastHashJoin" in out._jdf.queryExecution().toString()
+
+
+def test_small_means_rows_and_bytes(spark, monkeypatch):
+    lookup = zones(spark, ("A", "Z/1"), ("B", "Z/2"))
+    assert zone_lookup(lookup).small
+    assert not zone_lookup(lookup, broadcast_rows=1).small
+    monkeypatch.setattr("tideline.operators.localtime.BROADCAST_BYTES", 5)
+    assert not zone_lookup(lookup).small
+
+
+def test_events_are_not_shuffled_for_a_small_lookup(spark):
+    df = spark.createDataFrame([("A", dt.date(2023, 1, 1), 5)], "Origin string, FlightDate date, DepTime int")
+    plan = local_to_utc(df, zones(spark))._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(Origin" not in plan and plan.count("BroadcastHashJoin") == 1

@@ -103,3 +103,10 @@ def test_repeating_replaces(spark):
     twice = next_event(once)
     assert twice.columns == once.columns
     assert sorted(map(str, twice.collect())) == sorted(map(str, once.collect()))
+
+
+@pytest.mark.parametrize("skip", [False, True])
+def test_one_shuffle_and_one_sort(spark, skip):
+    df = spark.createDataFrame([("k", T(2023, 1, 1), "a")], "Origin string, FlightTime timestamp, Reporting_Airline string")
+    plan = next_event(df, skip_null_times=skip)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and plan.count("Sort [") == 1

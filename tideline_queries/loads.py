@@ -106,7 +106,7 @@ def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = land(spark, sf_dir)
     table = new_table(spark, "landed")
     load = DailyLoad(config(table), zones(spark, sf_dir))
-    files = len(spark.read.text(f"{folder}/*").inputFiles())
+    files = spark.read.format("binaryFile").load(f"{folder}/*/*.json").count()
     stream = land_stream(
         spark, folder, load, new_folder(spark, "stream"), unit="folder", max_files=-(-files // 3)
     )
