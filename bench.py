@@ -25,7 +25,7 @@ from tideline import (
 )
 from tideline_queries import QUERIES
 from tideline_queries.inputs import departures, events, zones
-from tideline_queries.loads import COLUMNS, JSON_SCHEMA, config, land
+from tideline_queries.loads import COLUMNS, config, land
 from tideline_queries.nested import _LINE_SCHEMA, _LINE_SPECS, _lines
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -37,22 +37,23 @@ def drain(df: DataFrame) -> None:
     df.write.format("noop").mode("overwrite").save()
 
 
-def timed(action, runs: int = RUNS, warm: bool = True) -> float:
-    if warm:
-        action()
-    seconds = []
-    for _ in range(runs):
-        start = time.perf_counter()
+def seconds(action) -> float:
+    start = time.perf_counter()
+    action()
+    return time.perf_counter() - start
+
+
+def medians(*actions) -> list[float]:
+    """Median seconds of each action; after a warm-up they take turns."""
+    for action in actions:
         action()
-        seconds.append(time.perf_counter() - start)
-    return round(statistics.median(seconds), 3)
+    turns = [[seconds(action) for action in actions] for _ in range(RUNS)]
+    return [round(statistics.median(times), 3) for times in zip(*turns)]
 
 
 def plain_utc(rows: DataFrame, lookup: DataFrame) -> DataFrame:
     joined = rows.join(lookup, F.col("place") == F.col("code"), "left")
-    text = F.lpad(F.col("hhmm").cast("string"), 4, "0")
-    clock = F.format_string("%s:%s:00", F.substring(text, 1, 2), F.substring(text, 3, 2))
-    local = F.concat_ws(" ", F.col("day").cast("string"), clock).try_cast("timestamp")
+    local = local_clock(F.col("day"), F.col("hhmm"))
     return joined.select(*rows.columns, F.to_utc_timestamp(local, F.col("zone")).alias("instant"))
 
 
@@ -149,16 +150,21 @@ def main() -> None:
         "local_to_utc": lambda: drain(plain_utc(rows, shipped_lookup())),
         "next_event": lambda: drain(plain_next(moments)),
         "utc_next_event": lambda: drain(plain_next(plain_utc(rows, shipped_lookup()))),
-        "flatten_array_inner": lambda: drain(_lines(spark, SF_DIR).selectExpr("at.*", "shipped", "inline(charges)")),
+        "flatten_array_inner": lambda: drain(
+            _lines(spark, SF_DIR).selectExpr("at.*", "shipped", "inline(charges)")
+        ),
         "ingest_json": lambda: drain(plain_ingest(spark, lines, _LINE_SPECS)),
     }
-    queries = {name: timed(run) for name, run in ours.items()}
-    baseline = {name: timed(run) for name, run in plain.items()}
+    queries, baseline = {}, {}
+    for name in ours:
+        queries[name], baseline[name] = medians(ours[name], plain[name])
     # A load changes its table, so all days are loaded once, into a new one.
     our_daily(spark, folder, days[:2], lookup)
     plain_daily(spark, folder, days[:2], shipped_lookup)
-    queries["daily_load"] = timed(lambda: our_daily(spark, folder, days, lookup), 1, warm=False)
-    baseline["daily_load"] = timed(lambda: plain_daily(spark, folder, days, shipped_lookup), 1, warm=False)
+    queries["daily_load"] = round(seconds(lambda: our_daily(spark, folder, days, lookup)), 3)
+    baseline["daily_load"] = round(
+        seconds(lambda: plain_daily(spark, folder, days, shipped_lookup)), 3
+    )
     print(
         json.dumps(
             {

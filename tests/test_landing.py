@@ -2,12 +2,9 @@ import json
 
 import pytest
 
-from tests.test_load import COLUMNS, day, loader, recompute, stored
+from tests.test_load import day, loader, recompute, stored
 from tideline import land_stream
 
-__all__ = ["COLUMNS"]
-
-
 def put(folder, name, rows):
     folder.mkdir(parents=True, exist_ok=True)
     keys = ["Id", "Origin", "FlightDate", "DepTime", "Reporting_Airline"]
