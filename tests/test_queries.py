@@ -7,6 +7,7 @@ from pathlib import Path
 import pytest
 
 import __spark_entry__ as spark_entry
+from tideline_queries import QUERIES
 
 duckdb = pytest.importorskip("duckdb")
 DATA = os.environ.get("TIDELINE_DATA", "/root/testdata/sf0.001")
@@ -33,7 +34,7 @@ def as_lines(names, rows):
     return sorted(tuple(normal(row[i]) for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(spark_entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, tables, name):
     out = spark_entry.queries()[name](spark, DATA)
     wanted = tables.execute(spark_entry.oracle_sql()[name])
