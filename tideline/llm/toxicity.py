@@ -1,16 +1,19 @@
-"""Toxicity by two Kneser-Ney word models, one of toxic and one of ordinary texts.
-
-Both interpolate word pairs, words and one shared distribution of how many different words a word
-follows in either class, so that an expression rare in a class is judged by what the classes share.
-The difference of the log-likelihoods per word is turned into a score by a logistic curve fitted on
-labelled rows that the word models have not seen.
+"""Toxicity by two Kneser-Ney models, one of toxic and one of ordinary texts.
+
+A word is predicted from the class: its discounted share of the class's words, plus the class's
+freed mass times a distribution that both classes share. That one counts, as Kneser-Ney does, in how
+many classes a word occurs, not how often, so a word rare in one class and common in the other is
+told apart, and one that neither knows favours none. A text's log-likelihoods are compared per word,
+in three parts: words that speak for toxic or for ordinary text only, and words both classes know,
+which tell the topic rather than the tone. A logistic curve of the parts is the score; it is fitted
+on the labelled texts, each judged by counts without itself.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -20,12 +23,11 @@ from tideline.llm.shared import fold_number
 
 #: About so many labelled documents of each class are learned from, taken by a hash of the id.
 SAMPLE = 4_000
-#: Most frequent words and word pairs that a model keeps; bounds its size.
-MAX_WORDS, MAX_PAIRS = 200_000, 300_000
-DISCOUNT = 0.75
+#: Most frequent words that a model keeps; bounds its size.
+MAX_WORDS = 300_000
+DISCOUNT = 0.9
 THRESHOLD = 0.7
 _WORD = re.compile(r"\w+")
-_START = "\n"  # stands before the first word; no word contains it
 
 
 def words_of(text: str | None) -> list[str]:
@@ -33,126 +35,85 @@ def words_of(text: str | None) -> list[str]:
 
 
 @dataclass
-class WordModels:
-    """Log-ratios toxic : ordinary. ``words``: word to number; arrays go by that number."""
+class ClassModels:
+    """Counts go by a word's number and the class (0 ordinary, 1 toxic): texts that hold the word."""
 
     words: dict[str, int]
-    word_ratio: np.ndarray  # of a word by itself
-    context_ratio: np.ndarray  # of leaving the pairs that a word opens
-    pair_keys: np.ndarray  # sorted; first word's number * size + second's
-    pair_ratio: np.ndarray
-    slope: float = 1.0
-    shift: float = 0.0
-
-    def mean_ratio(self, text: str | None) -> float:
-        """Difference of log-likelihoods per word of the whole text; 0 without words."""
-        found = words_of(text)
-        if not found:
-            return 0.0
-        size, get = len(self.words), self.words.get
-        number = np.fromiter((get(w, -1) for w in found), dtype=np.int64, count=len(found))
-        before = np.concatenate([[get(_START, -1)], number[:-1]])
-        ratio = np.where(number >= 0, self.word_ratio[number], 0.0)
-        ratio += np.where(before >= 0, self.context_ratio[before], 0.0)
-        if len(self.pair_keys):
-            both = (number >= 0) & (before >= 0)
-            key = before[both] * size + number[both]
-            place = np.minimum(np.searchsorted(self.pair_keys, key), len(self.pair_keys) - 1)
-            ratio[both] = np.where(self.pair_keys[place] == key, self.pair_ratio[place], ratio[both])
-        return float(ratio.mean())
+    counts: np.ndarray
+    totals: np.ndarray  # of each class
+    kinds: float  # how many (word, class) occur
+    freed: float  # mass that discounting frees; one for both classes, so it favours none
+    curve: np.ndarray = field(default_factory=lambda: np.array([1.0, 0.0, 1.0, 0.0]))
+
+    def parts(self, text: str | None, own: int | None = None) -> np.ndarray:
+        """Log-ratio per word of the whole text: words for toxic, known to both, for ordinary.
+
+        ``own``: leave this text, of that class, out of the counts. Zeros for a text without words.
+        """
+        found, get = words_of(text), self.words.get
+        numbers = np.fromiter((n for w in found if (n := get(w)) is not None), dtype=np.int64)
+        if not len(numbers):
+            return np.zeros(3)
+        counts = self.counts[numbers]
+        if own is not None:
+            counts[:, own] -= 1
+        shared = ((counts > 0).sum(axis=1) + 1 / len(self.words)) / (self.kinds + 1)
+        known = (1 - self.freed) * np.maximum(counts - DISCOUNT, 0) / self.totals
+        logs = np.log(known + (self.freed * shared)[:, None])
+        ratio = logs[:, 1] - logs[:, 0]
+        both = (counts > DISCOUNT).all(axis=1)
+        sums = [ratio[~both & (ratio > 0)].sum(), ratio[both].sum(), ratio[~both & (ratio <= 0)].sum()]
+        return np.array(sums) / len(found)
 
     def score(self, text: str | None) -> float:
-        value = self.slope * self.mean_ratio(text) + self.shift
+        value = float(self.parts(text) @ self.curve[:3] + self.curve[3])
         return float(1 / (1 + np.exp(-np.clip(value, -40, 40))))
 
 
-def _pair_counts(sample: DataFrame) -> DataFrame:
-    """(before, word, toxic, ordinary) counts over whole texts."""
+def fit_counts(sample: DataFrame, max_words: int = MAX_WORDS) -> ClassModels:
+    """Both models from rows (text, toxic); every text counts a word once. Spark sums all counts,
+    of which those of the most frequent words are kept."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for text, toxic in zip(batch["text"], batch["toxic"], strict=True):
-                found = words_of(text)
-                yield pd.DataFrame(
-                    {"before": [_START, *found[:-1]] if found else [], "word": found, "toxic": int(toxic)}
-                ).astype({"before": str, "word": str, "toxic": "int32"})
-
-    return (
-        sample.select("text", "toxic").mapInPandas(count, "before string, word string, toxic int")
-        .groupBy("before", "word")
-        .agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("o"))
-    )
-
+                found = sorted(set(words_of(text)))
+                yield pd.DataFrame({"word": pd.Series(found, dtype=str), "toxic": np.int32(toxic)})
 
-def fit_words(sample: DataFrame, max_words: int = MAX_WORDS, max_pairs: int = MAX_PAIRS) -> WordModels:
-    """Both models from rows (text, toxic). All counts are summed by Spark; of words and of pairs
-    the most frequent are kept, the others share what backing off leaves."""
-    pairs = _pair_counts(sample).persist()
-    classes = ("t", "o")
-    kinds = [F.count_if(F.col(c) > 0).alias(f"{c}_kinds") for c in classes]
-    sums = [F.sum(c).alias(c) for c in classes]
-    word = pairs.groupBy("word").agg(*sums, F.count(F.lit(1)).alias("follows"))
-    context = pairs.groupBy(F.col("before").alias("word")).agg(*sums, *kinds)
-    total = word.agg(
-        *sums, *kinds, F.sum("follows").alias("pairs"), F.count(F.lit(1)).alias("types")
-    ).first()
-    often = (F.col("t") + F.col("o")).desc()
-    w = word.orderBy(often, "word").limit(max_words).toPandas()
-    c = context.orderBy(often, "word").limit(max_words).toPandas()
-    p = pairs.where("t + o > 1").orderBy(often, "before", "word").limit(max_pairs).toPandas()
-    pairs.unpersist()
-
-    names = list(dict.fromkeys([*w["word"], *c["word"]]))
-    numbers = {name: i for i, name in enumerate(names)}
-    size, types = len(names), max(1, total["types"] or 0)
-    follows = np.zeros(size)
-    follows[w["word"].map(numbers)] = w["follows"]
-    all_pairs = max(1, total["pairs"] or 0)
-    shared = (np.maximum(follows - DISCOUNT, 0) + DISCOUNT * types / (types + 1)) / all_pairs
-    logs, leaves, of_pairs = [], [], []
-    first, second = p["before"].map(numbers), p["word"].map(numbers)
-    known = first.notna() & second.notna()
-    first, second, p = first[known].astype(int).to_numpy(), second[known].astype(int).to_numpy(), p[known]
-    for k in classes:
-        own, n = np.zeros(size), max(1, total[k] or 0)
-        own[w["word"].map(numbers)] = w[k]
-        back = DISCOUNT * (total[f"{k}_kinds"] or 0) / n if total[k] else 1.0
-        single = np.maximum(own - DISCOUNT, 0) / n + back * shared
-        opened, kinds_after = np.zeros(size), np.zeros(size)
-        opened[c["word"].map(numbers)] = c[k]
-        kinds_after[c["word"].map(numbers)] = c[f"{k}_kinds"]
-        leave = np.where(opened > 0, DISCOUNT * kinds_after / np.maximum(opened, 1), 1.0)
-        seen = np.maximum(p[k].to_numpy() - DISCOUNT, 0) / np.maximum(opened[first], 1)
-        logs.append(np.log(single))
-        leaves.append(np.log(leave))
-        of_pairs.append(np.log(seen + leave[first] * single[second]))
-    keys = first.astype(np.int64) * size + second
-    order = np.argsort(keys)
-    return WordModels(
-        numbers, logs[0] - logs[1], leaves[0] - leaves[1], keys[order], (of_pairs[0] - of_pairs[1])[order]
+    by_word = (
+        sample.select("text", "toxic").mapInPandas(count, "word string, toxic int")
+        .groupBy("word")
+        .agg(F.sum(1 - F.col("toxic")).alias("o"), F.sum("toxic").alias("t"))
+    )
+    kept = by_word.orderBy((F.col("t") + F.col("o")).desc(), "word").limit(max_words).toPandas()
+    counts = kept[["o", "t"]].to_numpy(dtype=np.float64)
+    total = max(1.0, counts.sum())
+    return ClassModels(
+        {w: i for i, w in enumerate(kept["word"])}, counts, np.maximum(counts.sum(axis=0), 1.0),
+        float((counts > 0).sum()), float(np.minimum(counts, DISCOUNT).sum() / total),
     )
 
 
-def fit_curve(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic curve with a weak pull towards a flat one (Newton steps)."""
-    scale = float(np.std(x)) or 1.0
-    rows, beta = np.column_stack([x / scale, np.ones(len(x))]), np.zeros(2)
-    pull = np.diag([1e-3, 1e-6]) * max(1.0, weight.sum())
-    for _ in range(50):
+def fit_curve(parts: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Weights of the parts and a shift, by Newton steps with a weak pull to zero."""
+    scale = parts.std(axis=0) + 1e-9
+    rows, beta = np.column_stack([parts / scale, np.ones(len(parts))]), np.zeros(parts.shape[1] + 1)
+    pull = np.diag([1e-4] * parts.shape[1] + [0.0]) * weight.sum()
+    for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(rows @ beta, -40, 40)))
-        slope = rows.T @ (weight * (p - y)) + pull @ beta
+        slope = rows.T @ (weight * (p - toxic)) + pull @ beta
         bend = (rows * (weight * p * (1 - p))[:, None]).T @ rows + pull
-        step = np.linalg.solve(bend + 1e-9 * np.eye(2), slope)
-        beta -= np.clip(step, -5, 5)
-    return max(beta[0], 1e-6) / scale, beta[1]
+        step = np.linalg.solve(bend + 1e-4 * weight.sum() * np.eye(len(beta)), slope)
+        beta -= np.clip(step, -3, 3)
+    return np.append(beta[:-1] / scale, beta[-1])
 
 
-def train(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = SAMPLE) -> WordModels | None:
+def train(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = SAMPLE) -> ClassModels | None:
     """A model from rows of ``docs`` (doc_id, text) whose id is labelled and ``usable``.
 
     Several labels of a document are averaged (half counts as toxic), null ones left out. A hash
-    of the id takes the share that gives ``sample`` documents of each class on average; a fifth
-    of them fits the curve, the others the word models. None without rows of both classes.
+    of the id takes the share that gives ``sample`` documents of each class on average; equal texts
+    with equal labels are learned from once. None without rows of both classes.
     """
     marks = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(
         (F.avg("toxic") >= 0.5).cast("int").alias("toxic")
@@ -163,41 +124,42 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = SAMP
     draw = F.pmod(F.xxhash64(F.lit("toxicity"), "doc_id"), F.lit(1_000_000)) / 1_000_000
     share = {k: min(1.0, sample / n) for k, n in sizes.items()}
     taken = marks.where(draw < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0]))
-    # At most about 2 * sample ids, so they are broadcast and the texts stay where they are.
-    rows = docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id").persist()
-    curve = F.pmod(F.xxhash64(F.lit("curve"), "doc_id"), F.lit(5)) == 0
-    model = fit_words(rows.where(~curve))
+    # About 2 * sample ids at most are broadcast; texts stay where they are.
+    rows = docs.select("doc_id", "text").join(F.broadcast(taken), "doc_id")
+    rows = rows.select("text", "toxic").distinct().persist()
+    model = fit_counts(rows)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def ratio(texts: pd.Series) -> pd.Series:
-        return texts.map(shared.value.mean_ratio).astype(float)
+    @F.pandas_udf("array<double>")
+    def parts(texts: pd.Series, own: pd.Series) -> pd.Series:
+        return pd.Series([shared.value.parts(t, k) for t, k in zip(texts, own, strict=True)])
 
-    seen = rows.where(curve).select("toxic", ratio("text").alias("x")).toPandas()
+    seen = rows.select("toxic", parts("text", "toxic").alias("x")).toPandas()
     rows.unpersist()
-    if seen["toxic"].nunique() == 2:
-        weight = 1 / seen["toxic"].map(share).to_numpy(dtype=float)
-        model.slope, model.shift = fit_curve(seen["x"].to_numpy(), seen["toxic"].to_numpy(dtype=float), weight)
+    if seen["toxic"].nunique() < 2:
+        return None
+    weight = 1 / seen["toxic"].map(share).to_numpy(dtype=float)
+    model.curve = fit_curve(np.stack(seen["x"].to_list()), seen["toxic"].to_numpy(dtype=float), weight)
     return model
 
 
-def scored(docs: DataFrame, model: WordModels | None, name: str = "score", text: str = "text") -> DataFrame:
+def scored(docs: DataFrame, model: ClassModels | None, name: str = "score", text: str = "text") -> DataFrame:
     """``docs`` with the score of each whole text; null and empty texts get that of no words.
 
     Without a model all scores are 0.
     """
     if model is None:
         return docs.withColumn(name, F.lit(0.0))
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_WORDS and MAX_PAIRS
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_WORDS
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
-        return texts.map(shared.value.score, na_action=None).astype(float)
+        return pd.Series([shared.value.score(t) for t in texts], dtype=float)
 
     return docs.withColumn(name, score(F.col(text)))
 
 
-def train_on_folds(docs: DataFrame, labels: DataFrame) -> WordModels | None:
+def train_on_folds(docs: DataFrame, labels: DataFrame) -> ClassModels | None:
     return train(docs, labels, fold_number(F.col("doc_id"), 3) != 1)
 
 
