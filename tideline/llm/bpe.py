@@ -18,13 +18,15 @@ import json
 import os
 from collections import Counter
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tideline.llm.shared import small_batches
+
 #: Texts of more characters than LONG are cut until no piece has more than LEAF.
 LONG, LEAF = 32_768, 16_384
 #: Characters after a split that can decide it.
@@ -47,17 +49,23 @@ class Codec:
     """A tokenizer file, with a faster encoder of the same ids where its kind allows one."""
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has the cores
-        from tokenizers import Tokenizer
-
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
+        self.path = path
         with open(path, encoding="utf-8") as file:
             spec = json.load(file)
         self.specials = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
         self.fast = self._ranked(spec)
 
+    @cached_property
+    def tokenizer(self):
+        """The file as its library reads it; loaded only where it is needed, for its size."""
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark has the cores
+        from tokenizers import Tokenizer
+
+        found = Tokenizer.from_file(self.path)
+        found.no_truncation()
+        found.no_padding()
+        return found
+
     def _ranked(self, spec: dict):
         """An encoder by ranks, if the file is plain byte-level BPE whose ids follow its merges."""
         model, before = spec["model"], spec.get("pre_tokenizer") or {}
@@ -222,6 +230,7 @@ def encode_documents(
     Equal to what the tokenizer of the file at ``path`` (on every node) gives for the whole
     text without added special tokens. Repeated rows stay repeated.
     """
+    small_batches(docs.sparkSession)
     words = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows = docs.select(F.col(doc_id).alias("doc_id"), words.alias("text"))
     kind = dict(rows.dtypes)["doc_id"]

@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tideline.llm.shared import fold_number
+from tideline.llm.shared import fold_number, small_batches
 
 ORDER = 3
 #: About so many documents of each language are learned from, taken by a hash of the id.
@@ -99,6 +99,7 @@ def train(labelled: DataFrame, sample: int = SAMPLE, max_counts: int = MAX_COUNT
     Whole texts of a bounded sample are counted by Spark: of each language a hash of the id
     takes the share that gives ``sample`` documents on average. None if there is nothing to learn.
     """
+    small_batches(labelled.sparkSession)
     usable = labelled.where("text IS NOT NULL AND lang IS NOT NULL")
     sizes = {r["lang"]: r["n"] for r in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not sizes:
@@ -132,6 +133,7 @@ def predict(docs: DataFrame, model: ByteTrees | None, text: str = "text", doc_id
     letter, and any text without a model is ``und`` with score 0.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     shared = spark.sparkContext.broadcast(model)  # at most MAX_COUNTS entries an order
 
     @F.pandas_udf("lang_pred string, score double")

@@ -11,6 +11,9 @@ from tideline.session import shared_folder
 #: A group counts as hot from this share of all rows on; so at most 1 / HOT_SHARE groups are hot.
 HOT_SHARE = 0.001
 
+#: Texts in an Arrow batch.
+BATCH_ROWS = 500
+
 #: Java regular expression for one run of the white space that separates words.
 BLANKS = "[\\x20\\x09-\\x0D]+"
 
@@ -23,6 +26,13 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python a few at a time, so that a batch of long ones fits in memory."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(name)) <= BATCH_ROWS:
+        spark.conf.set(name, BATCH_ROWS)
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows, stored in the folder that ``spark.checkpoint.dir`` names."""
     shared_folder(df.sparkSession)

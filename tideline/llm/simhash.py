@@ -14,7 +14,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tideline.llm.shared import attach, checkpointed, fresh, one_of_repeated
+from tideline.llm.shared import attach, checkpointed, fresh, one_of_repeated, small_batches
 
 WORDS, LINK, SEED = 4, 4, 42
 #: A signature that more fingerprints may share gets a second signature from the other bits.
@@ -265,6 +265,7 @@ def near_duplicates(
 
     A null text has no words: fingerprint 0, linked like any other.
     """
+    small_batches(docs.sparkSession)
     prints = checkpointed(
         docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text)).alias("fp"))
     )
@@ -276,6 +277,7 @@ def drop_near_duplicates(
     docs: DataFrame, text: str = "text", doc_id: str = "doc_id", bucket: int = BUCKET
 ) -> DataFrame:
     """One row of each component, the one with the smallest id, with the columns of ``docs``."""
+    small_batches(docs.sparkSession)
     prints = checkpointed(
         docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text)).alias("fp"))
     )

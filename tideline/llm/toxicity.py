@@ -19,7 +19,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tideline.llm.shared import fold_number
+from tideline.llm.shared import fold_number, small_batches
 
 #: About so many labelled documents of each class are learned from, taken by a hash of the id.
 SAMPLE = 4_000
@@ -115,6 +115,7 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, sample: int = SAMP
     of the id takes the share that gives ``sample`` documents of each class on average; equal texts
     with equal labels are learned from once. None without rows of both classes.
     """
+    small_batches(docs.sparkSession)
     marks = labels.where("toxic IS NOT NULL").groupBy("doc_id").agg(
         (F.avg("toxic") >= 0.5).cast("int").alias("toxic")
     ).where(usable)
@@ -150,6 +151,7 @@ def scored(docs: DataFrame, model: ClassModels | None, name: str = "score", text
     """
     if model is None:
         return docs.withColumn(name, F.lit(0.0))
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_WORDS
 
     @F.pandas_udf("double")
