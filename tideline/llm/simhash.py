@@ -9,9 +9,11 @@ share a signature are compared; nothing else can be linked.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tideline.llm.shared import attach, checkpointed, fresh, one_of_repeated, small_batches
@@ -21,6 +23,8 @@ WORDS, LINK, SEED = 4, 4, 42
 BUCKET = 4096
 #: Up to so many fingerprints of a signature are compared pair by pair, more by a search.
 SMALL = 32
+#: Rows compared at a time.
+PAIR_ROWS = 65_536
 #: Busy signatures are broadcast up to this number (of 8 bytes each), else joined by shuffle.
 BROADCAST_ROWS = 100_000
 
@@ -187,24 +191,31 @@ def links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
     their components, found by a search, so the rows made grow with the members, not with pairs.
     """
 
-    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        keys, fps = np.zeros(0, np.int64), np.zeros(0, np.uint64)
-        for batch in batches:
-            new_keys = batch["key"].to_numpy()
-            new_fps = batch["fp"].to_numpy().view(np.uint64)
-            keys, fps = np.concatenate([keys, new_keys]), np.concatenate([fps, new_fps])
-            open_ = np.searchsorted(keys, keys[-1])  # the last run may go on
-            for a, b in _pairs(keys[:open_], fps[:open_], LINK) if open_ else []:
-                yield pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
-            keys, fps = keys[open_:], fps[open_:]
-        for a, b in _pairs(keys, fps, LINK) if len(keys) else []:
-            yield pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, fps, waiting, rows = np.zeros(0, np.int64), np.zeros(0, np.uint64), [], 0
+        for batch in chain(batches, [None]):
+            if batch is not None:
+                waiting.append(batch)
+                rows += batch.num_rows
+                if rows < PAIR_ROWS:
+                    continue
+            if waiting:
+                keys = np.concatenate([keys, *[b.column(0).to_numpy() for b in waiting]])
+                fps = np.concatenate([fps, *[b.column(1).to_numpy().view(np.uint64) for b in waiting]])
+            waiting, rows = [], 0
+            if not len(keys):
+                continue
+            # The last run may go on, unless all has come.
+            until = len(keys) if batch is None else np.searchsorted(keys, keys[-1])
+            for a, b in _pairs(keys[:until], fps[:until], LINK) if until else []:
+                yield pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], ["a", "b"])
+            keys, fps = keys[until:], fps[until:]
 
     near = (
         signatures(fps, bucket)
         .repartition("key")
         .sortWithinPartitions("key", "fp")
-        .mapInPandas(compare, "a bigint, b bigint")
+        .mapInArrow(compare, "a bigint, b bigint")
     )
     return near.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 

@@ -72,7 +72,8 @@ class ClassModels:
 
 def fit_counts(sample: DataFrame, max_words: int = MAX_WORDS) -> ClassModels:
     """Both models from rows (text, toxic); every text counts a word once. Spark sums all counts,
-    of which those of the most frequent words are kept."""
+    of which those of the most
+    frequent words are kept; a word in one text tells nothing about others."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -85,7 +86,7 @@ def fit_counts(sample: DataFrame, max_words: int = MAX_WORDS) -> ClassModels:
         .groupBy("word")
         .agg(F.sum(1 - F.col("toxic")).alias("o"), F.sum("toxic").alias("t"))
     )
-    kept = by_word.orderBy((F.col("t") + F.col("o")).desc(), "word").limit(max_words).toPandas()
+    kept = by_word.where("t + o > 1").orderBy((F.col("t") + F.col("o")).desc(), "word").limit(max_words).toPandas()
     counts = kept[["o", "t"]].to_numpy(dtype=np.float64)
     total = max(1.0, counts.sum())
     return ClassModels(
