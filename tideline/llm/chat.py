@@ -8,6 +8,8 @@ occurs there and the change can be undone. In roles ``%`` and line ends become
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from tideline.llm.shared import checkpointed
@@ -70,17 +72,20 @@ def _ancestors(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
     rooted = nodes.select("tree_key", "node", F.col("parent").alias("up"), "score").join(
         known.withColumn("there", F.lit(True)), ["tree_key", "up"], "left"
     )
-    reach = checkpointed(
+    open_ = checkpointed(
         rooted.select(
             "tree_key", "node", F.when(F.col("there"), F.col("up")).alias("up"),
             F.lit(1).alias("depth"), F.col("score").alias("total"),
         )
     )
-    steps, most = [], max(1, nodes.count()).bit_length() + 1
+    closed, steps, most = [], [], max(1, nodes.count()).bit_length() + 1
     while True:
-        open_ = reach.where(F.col("up").isNotNull())
+        # Nodes that have reached their root take no further part, but others pass through them.
+        reach = reduce(DataFrame.unionByName, closed, open_)
+        closed.append(open_.where(F.col("up").isNull()))
+        open_ = open_.where(F.col("up").isNotNull())
         if open_.isEmpty():
-            return steps, reach.select("tree_key", "node", "depth", "total")
+            return steps, reduce(DataFrame.unionByName, closed).select("tree_key", "node", "depth", "total")
         if len(steps) > most:
             raise ValueError("a reply is its own ancestor")
         steps.append(open_.select("tree_key", "node", "up"))
@@ -88,12 +93,11 @@ def _ancestors(nodes: DataFrame) -> tuple[list[DataFrame], DataFrame]:
             "tree_key", F.col("node").alias("up"), F.col("up").alias("up2"),
             F.col("depth").alias("depth2"), F.col("total").alias("total2"),
         )
-        # A node without an ancestor left keeps its sums: its null joins nothing.
-        reach = checkpointed(
-            reach.join(above, ["tree_key", "up"], "left").select(
+        open_ = checkpointed(
+            open_.join(above, ["tree_key", "up"]).select(
                 "tree_key", "node", F.col("up2").alias("up"),
-                (F.col("depth") + F.coalesce("depth2", F.lit(0))).alias("depth"),
-                (F.col("total") + F.coalesce("total2", F.lit(0.0))).alias("total"),
+                (F.col("depth") + F.col("depth2")).alias("depth"),
+                (F.col("total") + F.col("total2")).alias("total"),
             )
         )
 
