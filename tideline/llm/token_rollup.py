@@ -12,9 +12,11 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tideline.llm.bpe import encode_documents
+from tideline.llm.shared import checkpointed
 
 KEYS = ["source", "lang", "version"]
 MEASURES = ["documents", "tokens"]
+SYMBOLS = "[#*$%&|<>]+"
 _COMMITS = "batch string, attempt string"
 
 
@@ -93,18 +95,20 @@ class TokenRollup:
 def rollup_report(
     spark: SparkSession, docs: DataFrame, labels: DataFrame, path: str, folder: str, version: str = "byte_bpe_50k"
 ) -> DataFrame:
-    """Loads all documents, takes down the toxic ones, revises those of low quality to their text
-    without symbols, and sends the takedown once more, which changes nothing."""
-    counts = counted(docs, path, version)
+    """Loads all documents, takes down the toxic ones, revises those with symbols to their text
+    without, and sends the takedown once more, which changes nothing.
+
+    Counts are stored by document, so a change joins ids and numbers, never texts.
+    """
+    counts = checkpointed(counted(docs, path, version))
     rollup = TokenRollup(spark, folder)
-    marks = labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("quality").alias("quality"))
-    toxic = marks.where("toxic = 1").select("doc_id")
-    low = marks.where("quality = 0 AND coalesce(toxic, 0) <> 1").select("doc_id")
+    toxic = labels.where("toxic = 1").select("doc_id").distinct()
+    gone = counts.join(toxic, "doc_id", "left_semi")
+    cleaned = docs.where(F.col("text").rlike(SYMBOLS)).withColumn("text", F.regexp_replace("text", SYMBOLS, ""))
+    new = checkpointed(counted(cleaned, path, version)).join(toxic, "doc_id", "left_anti")
+    old = counts.join(new.select("doc_id"), "doc_id", "left_semi")
     rollup.commit("load", inserts(counts))
-    gone = docs.join(toxic, "doc_id", "left_semi")
-    rollup.commit("takedown", deletes(counted(gone, path, version)))
-    old = docs.join(low, "doc_id", "left_semi")
-    new = old.withColumn("text", F.regexp_replace("text", "[#*$%&|<>]+", ""))
-    rollup.commit("revision", revisions(counted(old, path, version), counted(new, path, version)))
-    rollup.commit("takedown", deletes(counted(gone, path, version)))
+    rollup.commit("takedown", deletes(gone))
+    rollup.commit("revision", revisions(old, new))
+    rollup.commit("takedown", deletes(gone))
     return rollup.totals()
