@@ -1,8 +1,8 @@
 """Timings at ``$BENCH_SF_DIR``; prints one JSON line.
 
-Every query is timed in this package's shape and in a plain one: inferred
-schema, no join hint, staging of everything, ``coalesce(10)`` on write. The
-headline value is the sum over this package's queries.
+Queries are timed with this package's defaults and with the same operators in a
+plain setting: inferred schema, no broadcast, no cutting of busy keys. Loads have
+no plain setting. The headline value is the sum over the default settings.
 """
 
 from __future__ import annotations
@@ -14,18 +14,15 @@ import sys
 import tempfile
 import time
 import uuid
-from datetime import timedelta
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tideline import (
-    DailyLoad, build_session, flatten, local_clock, local_to_utc, next_event, read_events_json,
-    read_zones_csv,
+    DailyLoad, build_session, local_to_utc, next_event, read_events_json, read_zones_csv,
 )
 from tideline_queries import QUERIES
 from tideline_queries.inputs import departures, events, zones
-from tideline_queries.loads import COLUMNS, config, land
+from tideline_queries.loads import config, land
 from tideline_queries.nested import _LINE_SCHEMA, _LINE_SPECS, _lines
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -51,49 +48,6 @@ def medians(*actions) -> list[float]:
     return [round(statistics.median(times), 3) for times in zip(*turns)]
 
 
-def plain_utc(rows: DataFrame, lookup: DataFrame) -> DataFrame:
-    joined = rows.join(lookup, F.col("place") == F.col("code"), "left")
-    local = local_clock(F.col("day"), F.col("hhmm"))
-    return joined.select(*rows.columns, F.to_utc_timestamp(local, F.col("zone")).alias("instant"))
-
-
-def plain_next(rows: DataFrame) -> DataFrame:
-    by_place = Window.partitionBy("place").orderBy("instant")
-    pair = F.lead(F.struct("instant", "kind")).over(by_place)
-    rows = rows.withColumn("n", pair)
-    return rows.select(
-        *[c for c in rows.columns if c != "n"],
-        F.col("n.instant").alias("instant_next"),
-        F.col("n.kind").alias("kind_next"),
-        (F.col("n.instant").cast("long") - F.col("instant").cast("long")).alias("gap"),
-    )
-
-
-def plain_ingest(spark: SparkSession, path: str, specs) -> DataFrame:
-    flat = flatten(spark.read.json(path))
-    return flat.select(*[F.col(s.name).try_cast(s.type).alias(s.name) for s in specs])
-
-
-def plain_daily(spark: SparkSession, folder: str, days: list, lookup) -> None:
-    """The previous day and the new one staged together, both written again."""
-    table, out = f"plain_{uuid.uuid4().hex}", tempfile.mkdtemp(prefix="bench-")
-    for d in days:
-        new = plain_utc(plain_ingest(spark, f"{folder}/arrival={d}", COLUMNS), lookup()).cache()
-        first = new.first().day
-        rows = new
-        if spark.catalog.tableExists(table):
-            old = spark.read.table(table).where(F.col("day") == first - timedelta(days=1))
-            both = old.select(new.columns).unionByName(new)
-            both.write.mode("overwrite").saveAsTable(f"{table}_stage")
-            rows = spark.read.table(f"{table}_stage")
-        (
-            plain_next(rows).coalesce(10).write.mode("overwrite").option("path", out)
-            .option("partitionOverwriteMode", "dynamic").partitionBy("day").saveAsTable(table)
-        )
-        spark.sql(f"DROP TABLE IF EXISTS {table}_stage")
-        new.unpersist()
-
-
 def our_daily(spark: SparkSession, folder: str, days: list, lookup: DataFrame) -> None:
     load = DailyLoad(config(f"ours_{uuid.uuid4().hex}"), lookup)
     for d in days:
@@ -114,14 +68,10 @@ def main() -> None:
     spark.sparkContext.setLogLevel("ERROR")
 
     rows = departures(spark, SF_DIR)
-    # The lookup is a CSV file; the plain shape reads it on the driver and ships it.
     zone_file = f"{scratch}/zones.csv"
     zones(spark, SF_DIR).toPandas().to_csv(zone_file, index=False)
     lookup = read_zones_csv(spark, zone_file, "code", "zone")
 
-    def shipped_lookup() -> DataFrame:
-        return spark.createDataFrame(pd.read_csv(zone_file))
-
     folder = land(spark, SF_DIR)
     lines = f"{scratch}/lines"
     _lines(spark, SF_DIR).write.json(lines)
@@ -146,25 +96,29 @@ def main() -> None:
         "flatten_array_inner": lambda: drain(QUERIES["flatten_array_inner"](spark, SF_DIR)),
         "ingest_json": lambda: drain(read_events_json(spark, lines, _LINE_SPECS, _LINE_SCHEMA)),
     }
+    def plain_utc() -> DataFrame:
+        return local_to_utc(
+            rows, lookup, "place", "day", "hhmm", "instant", code="code", zone="zone", broadcast_rows=0
+        )
+
+    def plain_next(source: DataFrame) -> DataFrame:
+        return next_event(source, "place", "instant", {"kind": "kind_next"}, "gap", rows_per_task=None)
+
     plain = {
-        "local_to_utc": lambda: drain(plain_utc(rows, shipped_lookup())),
+        "local_to_utc": lambda: drain(plain_utc()),
         "next_event": lambda: drain(plain_next(moments)),
-        "utc_next_event": lambda: drain(plain_next(plain_utc(rows, shipped_lookup()))),
+        "utc_next_event": lambda: drain(plain_next(plain_utc())),
         "flatten_array_inner": lambda: drain(
             _lines(spark, SF_DIR).selectExpr("at.*", "shipped", "inline(charges)")
         ),
-        "ingest_json": lambda: drain(plain_ingest(spark, lines, _LINE_SPECS)),
+        "ingest_json": lambda: drain(read_events_json(spark, lines, _LINE_SPECS)),
     }
     queries, baseline = {}, {}
     for name in ours:
         queries[name], baseline[name] = medians(ours[name], plain[name])
     # A load changes its table, so all days are loaded once, into a new one.
     our_daily(spark, folder, days[:2], lookup)
-    plain_daily(spark, folder, days[:2], shipped_lookup)
     queries["daily_load"] = round(seconds(lambda: our_daily(spark, folder, days, lookup)), 3)
-    baseline["daily_load"] = round(
-        seconds(lambda: plain_daily(spark, folder, days, shipped_lookup)), 3
-    )
     print(
         json.dumps(
             {

@@ -9,15 +9,18 @@ def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
-def test_struct_and_array_of_struct(spark):
+def test_struct_beside_array_of_struct(spark):
+    order = (41, ("north", 7.5), [("bolt", 3), ("nut", None), ("bolt", 3)])
     df = spark.createDataFrame(
-        [(("x", "y", "z"), "Ana", 30, [("p", "q"), ("r", "s")])],
-        "trio struct<a1:string,a2:string,a3:string>, name string, age long,"
-        "friends array<struct<b1:string,b2:string>>",
+        [order, (42, None, [("gear", 1)])],
+        "no int, depot struct<zone:string,rate:double>, items array<struct<sku:string,qty:int>>",
     )
     flat = flatten(df)
-    assert flat.columns == ["a1", "a2", "a3", "name", "age", "b1", "b2"]
-    assert rows(flat) == [("x", "y", "z", "Ana", 30, "p", "q"), ("x", "y", "z", "Ana", 30, "r", "s")]
+    assert flat.columns == ["no", "zone", "rate", "sku", "qty"]
+    assert sorted(map(tuple, flat.collect()), key=str) == sorted(
+        [(41, "north", 7.5, "bolt", 3), (41, "north", 7.5, "nut", None), (41, "north", 7.5, "bolt", 3),
+         (42, None, None, "gear", 1)], key=str,
+    )
     assert flatten(flat).columns == flat.columns
 
 

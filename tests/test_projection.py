@@ -3,14 +3,10 @@ import json
 
 import pytest
 
-from tideline import ColumnSpec, column_catalog, project_typed, read_events_json
+from tideline import ColumnSpec, column_catalog, malformed_lines, project_typed, read_events_json
 
-SPECS = [
-    ColumnSpec("name", "string", "first name"),
-    ColumnSpec("relation", "string"),
-    ColumnSpec("number", "int", "how many"),
-    ColumnSpec("job", "string"),
-]
+SPECS = [ColumnSpec("line", "int", "bus line"), ColumnSpec("stop", "string"), ColumnSpec("clock", "int")]
+SCHEMA = "line long, stops array<struct<stop:string, clock:int>>"
 
 
 def test_order_types_comments(spark):
@@ -71,20 +67,41 @@ def test_comments_reach_the_catalog(spark):
     spark.sql("DROP TABLE commented")
 
 
-def test_ingest_nested_file(spark, tmp_path):
-    person = {"name": "Mai", "family": [{"relation": "cousin", "number": 4}], "job": "baker"}
-    path = tmp_path / "people.json"
-    path.write_text(json.dumps(person))
-    schema = "name string, family array<struct<relation:string, number:long>>, job string"
-    for given in (None, schema):
-        out = read_events_json(spark, str(path), SPECS, schema=given)
-        assert out.dtypes == [("name", "string"), ("relation", "string"), ("number", "int"), ("job", "string")]
-        assert [tuple(r) for r in out.collect()] == [("Mai", "cousin", 4, "baker")]
+BUS = {"line": 12, "stops": [{"stop": "Mill", "clock": 805}, {"stop": "Pier", "clock": 2359}]}
 
 
-def test_ingest_pretty_printed_array(spark, tmp_path):
-    people = [{"name": n, "family": [{"relation": "r", "number": i}], "job": "j"} for i, n in enumerate("ab")]
-    path = tmp_path / "people.json"
-    path.write_text(json.dumps(people, indent=2))
-    out = read_events_json(spark, str(path), SPECS, multiline=True)
-    assert sorted(tuple(r) for r in out.collect()) == [("a", "r", 0, "j"), ("b", "r", 1, "j")]
+@pytest.mark.parametrize("schema", [None, SCHEMA])
+@pytest.mark.parametrize("on_error", ["null", "fail"])
+def test_read_nested_lines(spark, tmp_path, schema, on_error):
+    (tmp_path / "bus.json").write_text(json.dumps(BUS))
+    out = read_events_json(spark, str(tmp_path), SPECS, schema=schema, on_error=on_error)
+    assert out.dtypes == [("line", "int"), ("stop", "string"), ("clock", "int")]
+    assert [tuple(r) for r in out.collect()] == [(12, "Mill", 805), (12, "Pier", 2359)]
+
+
+def test_read_pretty_printed_array(spark, tmp_path):
+    buses = [BUS | {"line": k, "stops": BUS["stops"][:1]} for k in range(3)]
+    (tmp_path / "bus.json").write_text(json.dumps(buses, indent=1))
+    out = read_events_json(spark, str(tmp_path), SPECS, multiline=True)
+    assert sorted(r["line"] for r in out.collect()) == [0, 1, 2]
+
+
+def test_malformed_lines_are_told(spark, tmp_path):
+    whole = json.dumps(BUS)
+    odd = whole.replace("805", '"8:05"')
+    (tmp_path / "bus.json").write_text("\n".join([whole, whole[:-2], "", odd, "[1]x"]))
+    out = read_events_json(spark, str(tmp_path), SPECS, schema=SCHEMA)
+    mill, pier = (12, "Mill", 805), (12, "Pier", 2359)
+    assert sorted(map(tuple, out.collect()), key=str) == sorted([mill, pier, (12, "Mill", None), pier], key=str)
+    told = {tuple(r) for r in malformed_lines(spark, str(tmp_path), SCHEMA).collect()}
+    assert told == {(whole[:-2], False), (odd, True), ("[1]x", False)}
+
+
+@pytest.mark.parametrize("schema", [None, SCHEMA])
+@pytest.mark.parametrize("bad", ["cut", "clock"])
+def test_fail_stops_on_bad_lines(spark, tmp_path, schema, bad):
+    whole = json.dumps(BUS)
+    line = whole[:-2] if bad == "cut" else whole.replace("805", '"8:05"')
+    (tmp_path / "bus.json").write_text(f"{whole}\n{line}")
+    with pytest.raises(Exception, match="MALFORMED|CAST|FAILFAST|malformed"):
+        read_events_json(spark, str(tmp_path), SPECS, schema=schema, on_error="fail").collect()

@@ -20,6 +20,7 @@ from tideline.session import build_session, check_session, shared_folder
 from tideline.sources import (
     day_slice,
     infer_event_schema,
+    malformed_lines,
     neighbouring_days,
     read_events_json,
     read_zones_csv,
@@ -45,6 +46,7 @@ __all__ = [
     "local_clock",
     "local_to_utc",
     "neighbouring_days",
+    "malformed_lines",
     "next_event",
     "overwrite_days",
     "project_typed",

@@ -7,15 +7,18 @@ from pyspark.sql import Column, functions as F
 _DAY = 86_400
 
 
-def local_clock(day: Column, hhmm: Column, roll_2400: bool = False) -> Column:
+def local_clock(
+    day: Column, hhmm: Column, roll_2400: bool = False, cut_long: bool = False
+) -> Column:
     """Local timestamp of a date and an ``hhmm`` integer such as 5, 734 or 1535.
 
-    Values that are no time of day give null. More than four digits are cut
-    to the first four. ``roll_2400`` reads 2400 as midnight of the next day.
+    Values that are no time of day give null, so do more than four digits unless
+    ``cut_long`` takes the first four of them. ``roll_2400`` reads 2400 as midnight
+    of the next day.
     """
-    value = F.when(hhmm > 9999, F.substring(hhmm.cast("string"), 1, 4).cast("int")).otherwise(
-        hhmm.cast("int")
-    )
+    value = F.when(hhmm.between(0, 9999), hhmm.cast("int"))
+    if cut_long:
+        value = F.when(hhmm > 9999, F.substring(hhmm.cast("string"), 1, 4).cast("int")).otherwise(value)
     hour, minute = F.floor(value / 100), F.pmod(value, F.lit(100))
     valid = (value >= 0) & (hour < 24) & (minute < 60)
     if roll_2400:

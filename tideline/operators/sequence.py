@@ -6,6 +6,7 @@ import math
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from tideline.functions.clock import gap_seconds
 from tideline.operators.naming import as_list, column
@@ -37,14 +38,20 @@ def next_event(
     ``skip_null_times`` they neither have nor are a successor. With ``day``
     and ``max_day_gap`` a successor more days away than that is none.
 
+    Rows of one time are ordered by ``tie_break``, then the carried columns, then all
+    other columns that have an order, as the frame lists them, nulls first. So the
+    answer does not depend on where rows lie; rows that still tie are alike.
+
     Keys are counted first (one narrow pass, partial counts before the
     shuffle). Keys with more than ``rows_per_task`` rows are cut into ranges
     of time; ``None`` leaves out the count and never cuts. As the rows are
     read more than once, give stored rows rather than a long computation.
     """
-    keys, ties = as_list(partition_by), list(tie_break)
+    keys = as_list(partition_by)
     carry = {"Reporting_Airline": "Airline_next"} if carry is None else dict(carry)
     made = [f"{order_by}_next", *carry.values(), gap]
+    ordered = [f.name for f in df.schema.fields if f.name not in made and _has_order(f.dataType)]
+    ties = [c for c in dict.fromkeys([*tie_break, *carry, *ordered]) if c not in (*keys, order_by)]
     base = df.select(*[column(c) for c in df.columns if c not in made])
     follower = _follower(order_by, carry, day)
     order = [column(c).asc_nulls_first() for c in [order_by, *ties]]
@@ -66,6 +73,14 @@ def next_event(
     return _unpack(found, base.columns, order_by, carry, gap, skip_null_times, day, max_day_gap)
 
 
+def _has_order(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return _has_order(kind.elementType)
+    if isinstance(kind, StructType):
+        return all(_has_order(field.dataType) for field in kind.fields)
+    return not isinstance(kind, (MapType, VariantType))
+
+
 def _follower(order_by: str, carry: Mapping[str, str], day: str | None) -> Column:
     parts = [column(order_by).alias("time")]
     parts += [column(c).alias(f"c{i}") for i, c in enumerate(carry)]

@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tideline.operators.flatten import flatten
 from tideline.operators.projection import ColumnSpec, project_typed
 
 
+_BAD = "_malformed"
+
+
 def read_events_json(
     spark: SparkSession,
     path: str | list[str],
@@ -26,13 +29,38 @@ def read_events_json(
     One object per line, or whole-file JSON with ``multiline``. Give the
     nested ``schema`` for large inputs: without it Spark reads everything
     once more to infer one.
+
+    With ``on_error="fail"`` a record that cannot be read, or a value that does not
+    fit its type, stops the job. With ``"null"`` what cannot be read is null, and an
+    inner flatten leaves out a record without array elements; ``malformed_lines``
+    tells which lines these are.
     """
-    reader = spark.read.option("multiLine", multiline)
+    mode = "FAILFAST" if on_error == "fail" else "PERMISSIVE"
+    reader = spark.read.option("multiLine", multiline).option("mode", mode)
     if schema is not None:
         reader = reader.schema(schema)
     return project_typed(flatten(reader.json(path), outer=outer, maps=maps), specs, on_error)
 
 
+def malformed_lines(
+    spark: SparkSession, path: str | list[str], schema: StructType | str
+) -> DataFrame:
+    """Lines that are not one JSON object of ``schema``, or hold a value that does not fit it.
+
+    One row per line, with its text in ``line`` and whether it is an object at all in
+    ``readable``; of a readable one only single values are lost. Blank lines are no records.
+    """
+    kind = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    marked = StructType([*kind.fields, StructField(_BAD, StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
+    parsed = spark.read.text(path).select(
+        F.col("value").alias("line"), F.from_json("value", marked, options).alias("record")
+    )
+    return parsed.where((F.trim("line") != "") & F.col("record").getField(_BAD).isNotNull()).select(
+        "line", F.try_parse_json("line").isNotNull().alias("readable")
+    )
+
+
 def infer_event_schema(
     spark: SparkSession, path: str | list[str], multiline: bool = False, sampling: float = 1.0
 ) -> StructType:

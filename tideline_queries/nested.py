@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tideline import ColumnSpec, flatten, infer_event_schema, read_events_json
+from tideline import ColumnSpec, flatten, infer_event_schema, malformed_lines, read_events_json
 from tideline.session import new_folder
-from tideline_queries.inputs import read, shown
+from tideline_queries.inputs import events, read, shown
 
 
 def _charges() -> Column:
@@ -124,6 +124,42 @@ def ingest_json_inferred(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(read_events_json(spark, folder, _LINE_SPECS, schema=schema, outer=True))
 
 
+_EVENT_SCHEMA = "event_id bigint, hhmm int, tags array<struct<kind:string>>"
+_EVENT_SPECS = (ColumnSpec("event_id", "bigint"), ColumnSpec("hhmm", "int"), ColumnSpec("kind", "string"))
+
+
+def ingest_json_malformed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every error event is cut short and every click has a clock as text: the rows that could
+    be read, and after them the lines that could not be read whole."""
+    clock = F.hour("ts") * 100 + F.minute("ts")
+    shown_clock = F.when(F.col("event_type") == "click", F.concat(F.lit('"'), F.hour("ts"), F.lit(':"')))
+    line = F.concat(
+        F.lit('{"event_id": '), "event_id", F.lit(', "hhmm": '), F.coalesce(shown_clock, clock.cast("string")),
+        F.lit(', "tags": [{"kind": "'), "event_type", F.lit('"}]'),
+        F.when(F.col("event_type") == "error", "").otherwise("}"),
+    )
+    folder = new_folder(spark, "lines")
+    events(spark, sf_dir).select(line).write.text(folder)
+    good = read_events_json(spark, folder, _EVENT_SPECS, schema=_EVENT_SCHEMA)
+    bad = malformed_lines(spark, folder, _EVENT_SCHEMA)
+    return shown(good.unionByName(bad, allowMissingColumns=True), ("event_id", "hhmm"))
+
+
+_MALFORMED_SQL = """
+WITH lines AS (
+  SELECT event_id, event_type, hour(ts) AS h, hour(ts) * 100 + minute(ts) AS hhmm FROM events),
+bad AS (
+  SELECT '{"event_id": ' || event_id || ', "hhmm": '
+         || CASE WHEN event_type = 'click' THEN '"' || h || ':"' ELSE CAST(hhmm AS VARCHAR) END
+         || ', "tags": [{"kind": "' || event_type || '"}]' || CASE WHEN event_type = 'error' THEN '' ELSE '}' END AS line,
+         event_type <> 'error' AS readable
+  FROM lines WHERE event_type IN ('error', 'click'))
+SELECT CAST(event_id AS DOUBLE) AS event_id,
+       CASE WHEN event_type <> 'click' THEN CAST(hhmm AS DOUBLE) END AS hhmm,
+       event_type AS kind, NULL AS line, NULL AS readable
+FROM lines WHERE event_type <> 'error'
+UNION ALL SELECT NULL, NULL, NULL, line, readable FROM bad"""
+
 _CHARGES_SQL = "\nUNION ALL\n".join(
     f"""SELECT l_orderkey AS order_key, l_linenumber AS line,
        CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS shipped, '{kind}' AS kind, l_{kind} AS amount
@@ -147,6 +183,7 @@ QUERIES = {
     "flatten_prefixed": flatten_prefixed,
     "ingest_json": ingest_json,
     "ingest_json_inferred": ingest_json_inferred,
+    "ingest_json_malformed": ingest_json_malformed,
 }
 
 SQL = {
@@ -177,4 +214,5 @@ SELECT l_orderkey AS order_key, l_linenumber AS line, l_partkey AS part_key, l_q
 FROM lineitem""",
     "ingest_json": _CHARGES_SQL,
     "ingest_json_inferred": _CHARGES_OUTER_SQL,
+    "ingest_json_malformed": _MALFORMED_SQL,
 }

@@ -24,6 +24,12 @@ def next_of_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(next_event(_slim(spark, sf_dir), "user_id", "ts", _CARRY, "gap", ["event_id"]), ("gap",))
 
 
+def tied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Times cut to the day, so that most rows tie, and no columns given to tell them apart."""
+    rows = _slim(spark, sf_dir).withColumn("ts", F.date_trunc("day", "ts"))
+    return shown(next_event(rows, "user_id", "ts", _CARRY, "gap"), ("gap",))
+
+
 def nulls_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _with_gaps(spark, sf_dir)
     return shown(next_event(rows, "user_id", "ts", _CARRY, "gap", ["event_id"]), ("gap",))
@@ -89,6 +95,7 @@ led AS (
 
 QUERIES = {
     "next_event": next_of_user,
+    "next_event_tied": tied,
     "next_event_nulls_first": nulls_first,
     "next_event_nulls_skipped": nulls_skipped,
     "next_event_busy_keys": busy_keys,
@@ -99,6 +106,13 @@ QUERIES = {
 
 SQL = {
     "next_event": _next_sql(_SLIM, "user_id", "event_type", "type_next"),
+    "next_event_tied": f"""
+WITH rows AS (SELECT event_id, user_id, event_type, date_trunc('day', ts) AS ts FROM events),
+led AS (SELECT *, lead(ts) OVER w AS n, lead(event_type) OVER w AS type_next FROM rows
+        WINDOW w AS (PARTITION BY user_id ORDER BY ts NULLS FIRST, event_type NULLS FIRST, event_id))
+SELECT event_id, user_id, event_type, {stamp_sql("CAST(ts AS TIMESTAMP)")} AS ts, {stamp_sql("CAST(n AS TIMESTAMP)")} AS ts_next,
+       type_next, {gap_sql("CAST(n AS TIMESTAMP)", "CAST(ts AS TIMESTAMP)")} AS gap
+FROM led""",
     "next_event_nulls_first": _next_sql(_GAPS, "user_id", "event_type", "type_next"),
     "next_event_nulls_skipped": f"""
 WITH rows AS ({_GAPS}),

@@ -27,6 +27,15 @@ def clock(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(rows.withColumn("local", local_clock(F.col("day"), F.col("hhmm"))))
 
 
+def clock_cut(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Clocks with a digit too many, of which the first four are taken."""
+    rows = events(spark, sf_dir).select(
+        "event_id", F.to_date("ts").alias("day"),
+        ((F.hour("ts") * 100 + F.minute("ts")) * 10).alias("hhmm"),
+    )
+    return shown(rows.withColumn("local", local_clock(F.col("day"), F.col("hhmm"), cut_long=True)))
+
+
 def clock_2400(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first hour of a day written as 24 of its own date."""
     rows = events(spark, sf_dir).select(
@@ -83,6 +92,7 @@ FROM departures LEFT JOIN zones ON place = code"""
 
 QUERIES = {
     "local_clock": clock,
+    "local_clock_cut": clock_cut,
     "local_clock_2400": clock_2400,
     "tz_lookup_join": lookup_join,
     "tz_lookup_join_large": lookup_join_large,
@@ -98,6 +108,14 @@ WITH clocks AS (
 SELECT event_id, CAST(day AS VARCHAR) AS day, CAST(h * 100 + k AS INTEGER) AS hhmm,
        CASE WHEN k < 60 THEN {stamp_sql("CAST(day AS TIMESTAMP) + to_hours(h) + to_minutes(k)")} END AS local
 FROM clocks""",
+    "local_clock_cut": f"""
+WITH clocks AS (
+  SELECT event_id, CAST(ts AS DATE) AS day, CAST((hour(ts) * 100 + minute(ts)) * 10 AS INTEGER) AS hhmm FROM events),
+cut AS (SELECT *, CASE WHEN hhmm > 9999 THEN hhmm // 10 ELSE hhmm END AS v FROM clocks)
+SELECT event_id, CAST(day AS VARCHAR) AS day, hhmm,
+       CASE WHEN v // 100 < 24 AND v % 100 < 60
+            THEN {stamp_sql("CAST(day AS TIMESTAMP) + to_hours(v // 100) + to_minutes(v % 100)")} END AS local
+FROM cut""",
     "local_clock_2400": f"""
 WITH clocks AS (
   SELECT event_id, CAST(ts AS DATE) AS day,

@@ -23,20 +23,20 @@ def typed_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def try_cast_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Texts of which only some are numbers: two characters cut from the properties."""
+    """Whole texts, of which only one column holds numbers."""
     rows = events(spark, sf_dir).select(
         "event_id",
-        F.substring("props", 7, 2).alias("pair"),
-        F.substring("props", 8, 1).alias("digit"),
+        "props",
+        F.get_json_object("props", "$.k").alias("k"),
         F.col("event_type").alias("kind"),
     )
     specs = (
         ColumnSpec("event_id", "int"),
-        ColumnSpec("pair", "int"),
-        ColumnSpec("digit", "bigint"),
+        ColumnSpec("props", "int"),
+        ColumnSpec("k", "bigint"),
         ColumnSpec("kind", "date"),
     )
-    return shown(project_typed(rows, specs), ("pair", "digit"))
+    return shown(project_typed(rows, specs), ("props", "k"))
 
 
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,8 +78,8 @@ SELECT CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS l_shipdate, l_orderkey,
 FROM lineitem""",
     "try_cast_projection": """
 SELECT CAST(event_id AS INTEGER) AS event_id,
-       CAST(TRY_CAST(substr(props, 7, 2) AS INTEGER) AS DOUBLE) AS pair,
-       CAST(TRY_CAST(substr(props, 8, 1) AS BIGINT) AS DOUBLE) AS digit,
+       CAST(TRY_CAST(props AS INTEGER) AS DOUBLE) AS props,
+       CAST(TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS DOUBLE) AS k,
        CAST(TRY_CAST(event_type AS DATE) AS VARCHAR) AS kind
 FROM events""",
     "column_catalog": _catalog_sql(),
