@@ -86,7 +86,7 @@ class Codec:
             return None
         import tiktoken
 
-        byte = _byte_of_char()
+        self.byte_of = byte = _byte_of_char()
         ranks = {bytes(byte[c] for c in token): rank for token, rank in vocab.items()}
         self.bytes_of = {rank: token for token, rank in ranks.items()}
         self.sizes = np.zeros(max([*ranks.values(), *self.specials.values()]) + 1, dtype=np.int64)
@@ -120,12 +120,23 @@ class Codec:
     def splits(self, text: str) -> list[tuple[str, int, int]]:
         """Words of the pre-tokenizer as (byte-level word, start, end); places count bytes."""
         out, at = [], 0
-        for word, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(text):
+        for word, _ in self.splitter.pre_tokenize_str(text):
             out.append((word, at, at + len(word)))
             at += len(word)
         return out
 
+    @cached_property
+    def splitter(self):
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        return ByteLevel(add_prefix_space=False, use_regex=True)
+
+    def whole_word(self, word: str) -> list[int]:
+        """Ids of one word of the pre-tokenizer; by itself it is one word again."""
+        return self.fast.encode_ordinary(bytes(map(self.byte_of.get, word)).decode())
+
     def word(self, word: str) -> list[int]:
+        """Ids of any bytes taken as one word."""
         return [token.id for token in self.tokenizer.model.tokenize(word)]
 
     def starts(self, ids: np.ndarray) -> np.ndarray:
@@ -193,7 +204,7 @@ class Codec:
             if first and self._one_word(left[sure:]) and self._one_word(right[: taken[0]]):
                 parts.append(self._inside(left[sure:], right[: taken[0]]))
             else:
-                parts.append(np.array(self.word(word), dtype="<u4"))
+                parts.append(np.array(self.whole_word(word), dtype="<u4"))
         return np.concatenate([*parts, right[last:]])
 
     def joined(self, pieces: list[np.ndarray]) -> np.ndarray:

@@ -12,7 +12,7 @@ from tideline.session import shared_folder
 HOT_SHARE = 0.001
 
 #: Texts in an Arrow batch.
-BATCH_ROWS = 500
+BATCH_ROWS = 200
 
 #: Java regular expression for one run of the white space that separates words.
 BLANKS = "[\\x20\\x09-\\x0D]+"

@@ -24,7 +24,7 @@ from tideline.llm.shared import fold_number, small_batches
 #: About so many labelled documents of each class are learned from, taken by a hash of the id.
 SAMPLE = 4_000
 #: Most frequent words that a model keeps; bounds its size.
-MAX_WORDS = 300_000
+MAX_WORDS = 150_000
 DISCOUNT = 0.9
 THRESHOLD = 0.7
 _WORD = re.compile(r"\w+")
