@@ -57,7 +57,7 @@ def malformed_lines(
         F.col("value").alias("line"), F.from_json("value", marked, options).alias("record")
     )
     return parsed.where((F.trim("line") != "") & F.col("record").getField(_BAD).isNotNull()).select(
-        "line", F.try_parse_json("line").isNotNull().alias("readable")
+        "line", F.json_object_keys("line").isNotNull().alias("readable")
     )
 
 
