@@ -51,6 +51,30 @@ def test_a_folder_per_day_is_loaded_whole(spark, tmp_path):
         spark.sql("DROP TABLE IF EXISTS landed_folders")
 
 
+@pytest.mark.parametrize("most", [1, 2, None])
+def test_days_spread_over_files(spark, tmp_path, most):
+    """Files of one day, a late one, one of two days; names with blanks and pattern characters."""
+    table = f"landed_spread_{most}".lower()
+    load = loader(spark, table)
+    files = {
+        "a.json": rows_of(0, range(4)),
+        "b [1] {x} 50%20.json": rows_of(0, range(10, 14)) + rows_of(1, range(30, 33)),
+        "c*.json": rows_of(1, range(40, 44)),
+    }
+    late = rows_of(0, range(20, 23))
+    try:
+        for name, rows in files.items():
+            put(tmp_path / "in", name, rows)
+        args = (str(tmp_path / "in"), load, str(tmp_path / "cp"))
+        run(spark, *args, max_files=most)
+        assert stored(spark, table) == recompute(sum(files.values(), []), 1)
+        put(tmp_path / "in", "late.json", late)
+        run(spark, *args, max_files=most)
+        assert stored(spark, table) == recompute(sum(files.values(), late), 1)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+
+
 def test_unit_is_checked(spark, tmp_path):
     with pytest.raises(ValueError, match="unit"):
         land_stream(spark, str(tmp_path), None, str(tmp_path), unit="day")

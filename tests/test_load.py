@@ -132,6 +132,39 @@ def test_row_without_day_is_refused_and_staging_is_gone(spark, table):
     assert spark.sql("SHOW TABLES IN tideline_staging").where("tableName like 'batch%'").count() == 0
 
 
+def test_stray_day_is_refused(spark, table):
+    load = loader(spark, table)
+    first = [(i, "A", day(0), 100 * i, "p") for i in range(5)]
+    load.load(spark.createDataFrame(first, SCHEMA), [day(0)])
+    before = stored(spark, table)
+    mixed = spark.createDataFrame([(10, "A", day(1), 900, "q"), (11, "A", day(0), 900, "q")], SCHEMA)
+    with pytest.raises(ValueError, match="2023-01-01"):
+        load.load(mixed, [day(1)])
+    assert stored(spark, table) == before
+    assert load.load(mixed.where("Id = 10"), [day(1)]) == [day(0), day(1)]
+
+
+def test_failure_while_writing_keeps_a_copy_of_the_day_before(spark, table, monkeypatch):
+    load = loader(spark, table)
+    load.load(spark.createDataFrame([(1, "A", day(0), 900, "p")], SCHEMA))
+    batch = spark.createDataFrame([(2, "A", day(1), 900, "q")], SCHEMA)
+
+    def lost(*args, **more):
+        raise OSError("no more disk")
+
+    with monkeypatch.context() as patch:
+        patch.setattr("tideline.plans.daily_load.overwrite_days", lost)
+        with pytest.raises(OSError) as caught:
+            load.load(batch)
+    copy = caught.value.__notes__[0].split()[-1]
+    assert [r.Id for r in spark.table(copy).collect()] == [1]
+    spark.sql(f"DROP TABLE {copy}")
+    assert stored(spark, table) == {1: (None, None, None)}
+    load.load(batch)
+    assert stored(spark, table)[1][1] == "q"
+    assert spark.sql("SHOW TABLES IN tideline_staging").where("tableName like 'before%'").count() == 0
+
+
 def test_files_with_explicit_path_and_new_column(spark, table, tmp_path):
     def write(n, **more):
         path = tmp_path / f"{day(n)}.json"
@@ -180,6 +213,14 @@ def test_config_from_file(tmp_path):
         "default.t", 10, 3, None)
 
 
+def test_settings_from_file_and_misspelt_ones():
+    settings = {"data_columns": [], "output_table": "t", "tie_break": ["a"], "outer": True, "maps": "drop", "on_error": "fail"}
+    config = LoadConfig.from_dict(settings)
+    assert (config.tie_break, config.outer, config.maps, config.on_error) == (("a",), True, "drop", "fail")
+    with pytest.raises(ValueError, match="outputpath"):
+        LoadConfig.from_dict(settings | {"outputpath": "x"})
+
+
 def test_overwrite_keeps_other_days(spark, table):
     def frame(n, v):
         return spark.createDataFrame([(day(n), v)], "FlightDate date, v int")
@@ -217,7 +258,8 @@ def test_day_slice_reads_its_partition_only(spark, table):
     assert [r.v for r in part.collect()] == [1]
     assert len(part.inputFiles()) >= 1
     plan = part._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(FlightDate" in plan or "PartitionFilters: [(FlightDate" in plan or "FlightDate" in plan.split("PartitionFilters")[1]
+    filters = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "FlightDate" in filters and "2023-01-02" in filters
     assert day_slice(spark, table, [day(9)]).count() == 0
 
 

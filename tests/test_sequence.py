@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -74,6 +75,16 @@ def test_busy_key_is_spread(spark):
     assert out.where("c_next = c + 1 and gap = 1").count() == 1999
     plan = out._jdf.queryExecution().toString()
     assert "_segment" in plan and "BroadcastHashJoin" in plan
+    # 2 * 2000 / 100 ranges, each a task of its own
+    assert "hashpartitioning(k" in plan and re.search(r"hashpartitioning\(k#\d+, _segment#\d+, 40\)", plan)
+
+
+def test_tasks_follow_the_number_of_rows(spark):
+    df = spark.range(2000).select((F.col("id") % 50).alias("k"), F.timestamp_seconds("id").alias("t"), F.col("id").alias("c"))
+    out = next_event(df, "k", "t", {"c": "c_next"}, "gap", rows_per_task=100)
+    assert out.where("c_next = c + 50 and gap = 50").count() == 1950
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and re.search(r"hashpartitioning\(k#\d+L?, 20\)", plan)
 
 
 def test_several_keys(spark):

@@ -84,7 +84,7 @@ def _join_large(
 ) -> DataFrame:
     nowhere = df.where(column(key).isNull()).withColumn("_zone", F.lit(None).cast("string"))
     placed = df.where(column(key).isNotNull())
-    busy = busy_keys(placed, [key], rows_per_task)
+    busy, _ = busy_keys(placed, [key], rows_per_task)
     if busy is None:
         found = placed.join(lookup, matches, "left")
     else:

@@ -44,7 +44,8 @@ def next_event(
 
     Keys are counted first (one narrow pass, partial counts before the
     shuffle). Keys with more than ``rows_per_task`` rows are cut into ranges
-    of time; ``None`` leaves out the count and never cuts. As the rows are
+    of time, and the others are dealt out over so many tasks that one gets about
+    ``rows_per_task`` rows; ``None`` leaves out the count and never cuts. As the rows are
     read more than once, give stored rows rather than a long computation.
     """
     keys = as_list(partition_by)
@@ -64,15 +65,27 @@ def next_event(
         apart = F.when(column(order_by).isNull(), F.pmod(content, F.lit(_UNTIMED_GROUPS)))
         rows = base.withColumn(_APART, apart)
         groups = [*keys, _APART]
-    busy = busy_keys(rows, groups, rows_per_task)
+    busy, total = busy_keys(rows, groups, rows_per_task)
+    tasks = math.ceil(total / rows_per_task) if rows_per_task else 0
     if busy is None:
-        window = Window.partitionBy(*[column(k) for k in groups]).orderBy(*order)
-        found = rows.withColumn(_NEXT, F.lead(follower).over(window))
+        found = _by_key(rows, groups, order, follower, tasks)
     else:
-        found = _with_busy_keys(rows, groups, order_by, ties, order, follower, busy, rows_per_task)
+        found = _with_busy_keys(
+            rows, groups, order_by, ties, order, follower, busy, rows_per_task, tasks
+        )
     return _unpack(found, base.columns, order_by, carry, gap, skip_null_times, day, max_day_gap)
 
 
+def _by_key(
+    df: DataFrame, keys: list[str], order: list[Column], follower: Column, tasks: int
+) -> DataFrame:
+    """The follower of each row by a plain window, in ``tasks`` tasks if Spark would take fewer."""
+    key_columns = [column(k) for k in keys]
+    if tasks > int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        df = df.repartition(tasks, *key_columns)  # which the window uses, so it is no extra shuffle
+    return df.withColumn(_NEXT, F.lead(follower).over(Window.partitionBy(*key_columns).orderBy(*order)))
+
+
 def _has_order(kind: DataType) -> bool:
     if isinstance(kind, ArrayType):
         return _has_order(kind.elementType)
@@ -123,15 +136,14 @@ def _with_busy_keys(
     follower: Column,
     busy: DataFrame,
     rows_per_task: int,
+    tasks: int,
 ) -> DataFrame:
     """Plain window for most keys, ranges of (time, ties) for the busy ones."""
     shared_folder(df.sparkSession)
     key_columns = [column(k) for k in keys]
     marks = F.broadcast(busy.drop("_rows"))
     is_busy = key_matches(keys)
-    quiet = df.join(marks, is_busy, "left_anti")
-    window = Window.partitionBy(*key_columns).orderBy(*order)
-    quiet = quiet.withColumn(_NEXT, F.lead(follower).over(window))
+    quiet = _by_key(df.join(marks, is_busy, "left_anti"), keys, order, follower, tasks)
 
     # The position tells equal rows apart, so even a heap of copies can be
     # cut. It is stored before rows move by it: a task that is run again must
@@ -161,8 +173,10 @@ def _with_busy_keys(
 
     within = Window.partitionBy(*key_columns, F.col(_SEGMENT)).orderBy(*order, F.col(_POSITION))
     follows = F.lead(follower).over(within)
+    # As many tasks as ranges, or the shuffle for the window would put ranges together again.
     cut = (
-        pinned.join(F.broadcast(heads), is_busy & (F.col(_SEGMENT) == F.col("_s")), "left")
+        pinned.repartition(segments, *key_columns, F.col(_SEGMENT))
+        .join(F.broadcast(heads), is_busy & (F.col(_SEGMENT) == F.col("_s")), "left")
         .withColumn(_NEXT, F.coalesce(follows, F.col(_HEAD)))
         .select(*[column(c) for c in df.columns], F.col(_NEXT))
     )

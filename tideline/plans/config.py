@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 from pathlib import Path
 from typing import Any
 
@@ -44,6 +44,10 @@ class LoadConfig:
     roll_2400: bool = False
     on_error: str = "null"
     multiline: bool = False
+    # How nested records are flattened
+    outer: bool = False
+    maps: str = "keep"
+    on_duplicate: str = "error"
     json_schema: StructType | str | None = None
     # Largest lookup to broadcast, and most rows of one key in a single task
     broadcast_rows: int = BROADCAST_ROWS
@@ -59,12 +63,18 @@ class LoadConfig:
 
     @classmethod
     def from_dict(cls, settings: Mapping[str, Any], **more: Any) -> LoadConfig:
-        """From a config mapping; unknown entries are ignored, ``more`` wins."""
-        known = {
-            k: settings[k]
-            for k in ("output_table", "output_partitions", "output_path", "lookback_days")
-            if k in settings
-        }
+        """From a config mapping with any of the settings above; ``more`` wins.
+
+        ``data_columns`` declares the columns. Other entries are refused, but for
+        ``EXECUTION_ENVIRONMENT``, which says nothing about a load.
+        """
+        names = {f.name for f in fields(cls)} - {"columns"}
+        unknown = set(settings) - names - {"data_columns", "EXECUTION_ENVIRONMENT"}
+        if unknown:
+            raise ValueError(f"unknown settings: {', '.join(sorted(unknown))}")
+        known = {k: v for k, v in settings.items() if k in names}
+        if "tie_break" in known:
+            known["tie_break"] = tuple(known["tie_break"])
         specs = tuple(ColumnSpec.from_dict(entry) for entry in settings["data_columns"])
         return cls(**({"columns": specs} | known | more))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from contextlib import ExitStack, contextmanager
 from datetime import date
 
@@ -24,15 +24,23 @@ _CONTEXT = "_context"
 
 
 @contextmanager
-def staged(df: DataFrame) -> Iterator[DataFrame]:
-    """The rows of ``df`` as a table of their own while the block runs."""
+def staged(df: DataFrame, label: str = "batch", keep: bool = False) -> Iterator[DataFrame]:
+    """The rows of ``df`` as a table of their own while the block runs.
+
+    With ``keep`` the table stays if the block fails, and the error names it.
+    """
     spark = df.sparkSession
-    table = new_table(spark, "batch")
+    table = new_table(spark, label)
     try:
         df.write.format("parquet").saveAsTable(table)
         yield spark.read.table(table)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
+    except BaseException as error:
+        if keep:
+            error.add_note(f"rows as they were before are in {table}")
+        else:
+            spark.sql(f"DROP TABLE IF EXISTS {table}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
 class DailyLoad:
@@ -51,17 +59,25 @@ class DailyLoad:
             zones, config.zone_code, config.zone_name, config.broadcast_rows, keep=True
         )
 
-    def run(self, path: str | list[str]) -> list[date]:
-        """Load files; gives the days that were written."""
+    def run(self, path: str | list[str], days: Iterable[date] | None = None) -> list[date]:
+        """Load files; gives the days that were written. For ``days`` see ``load``."""
+        return self.load(self.read(path), days)
+
+    def read(self, path: str | list[str], source: str | None = None) -> DataFrame:
+        """Files as flat, typed rows; ``source`` names a column for the path of each row's file."""
         c = self.config
-        return self.load(
-            read_events_json(
-                self.spark, path, c.columns, c.json_schema, c.multiline, c.on_error
-            )
+        return read_events_json(
+            self.spark, path, c.columns, c.json_schema, c.multiline, c.on_error,
+            c.outer, c.maps, c.on_duplicate, source,
         )
 
-    def load(self, events: DataFrame) -> list[date]:
-        """Load flat, typed rows."""
+    def load(self, events: DataFrame, days: Iterable[date] | None = None) -> list[date]:
+        """Load flat, typed rows.
+
+        ``days`` are those that the rows hold whole. A row of another day would replace that
+        day, so the load is refused before anything is written. Without ``days`` the rows
+        are taken to be all there is of every day among them.
+        """
         c = self.config
         if not isinstance(events.schema[c.day].dataType, DateType):
             raise TypeError(f"{c.day} must be a date")
@@ -77,9 +93,12 @@ class DailyLoad:
             sizes = self._rows_per_day(batch)
             if None in sizes:
                 raise ValueError(f"rows without {c.day} belong to no day of the table")
+            stray = set() if days is None else set(sizes) - set(days)
+            if stray:
+                raise ValueError(f"rows of other days: {', '.join(map(str, sorted(stray)))}")
             if not sizes:
                 return []
-            rows, written = self._with_neighbours(batch, sizes)
+            rows, written = self._with_neighbours(batch, sizes, stages)
             # The window leaves the rows of a day in a few large pieces; only
             # a load of many days has to gather them once more.
             overwrite_days(
@@ -93,7 +112,7 @@ class DailyLoad:
         return {r.d: r.n for r in counted.collect()}
 
     def _with_neighbours(
-        self, batch: DataFrame, sizes: dict[date, int]
+        self, batch: DataFrame, sizes: dict[date, int], stages: ExitStack
     ) -> tuple[DataFrame, list[date]]:
         """Rows to write, successors set, and the days they are of."""
         c = self.config
@@ -112,7 +131,10 @@ class DailyLoad:
         schema = StructType([f for f in schema.fields if f.name not in c.next_columns])
         rows = align_to(batch, schema)
         if stale:
-            rows = rows.unionByName(align_to(stored.where(column(c.day).isin(stale)), schema))
+            # These days are read and replaced by one job, so a copy outlives a lost driver.
+            before = stored.where(column(c.day).isin(stale))
+            copy = stages.enter_context(staged(before, "before", keep=True))
+            rows = rows.unionByName(align_to(copy, schema))
         total = sum(sizes.values()) + sum(found[d] for d in [*stale, *ahead])
         if not ahead:
             return self._successors(rows, total), [*days, *stale]

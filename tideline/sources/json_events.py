@@ -23,6 +23,8 @@ def read_events_json(
     on_error: str = "null",
     outer: bool = False,
     maps: str = "keep",
+    on_duplicate: str = "error",
+    source: str | None = None,
 ) -> DataFrame:
     """Read JSON, flatten it and keep the declared columns.
 
@@ -33,13 +35,18 @@ def read_events_json(
     With ``on_error="fail"`` a record that cannot be read, or a value that does not
     fit its type, stops the job. With ``"null"`` what cannot be read is null, and an
     inner flatten leaves out a record without array elements; ``malformed_lines``
-    tells which lines these are.
+    tells which lines these are. ``source`` names a column for the path of each row's file.
     """
     mode = "FAILFAST" if on_error == "fail" else "PERMISSIVE"
     reader = spark.read.option("multiLine", multiline).option("mode", mode)
     if schema is not None:
         reader = reader.schema(schema)
-    return project_typed(flatten(reader.json(path), outer=outer, maps=maps), specs, on_error)
+    records, specs = reader.json(path), list(specs)
+    if source is not None:
+        records = records.withColumn(source, F.col("_metadata.file_path"))
+        specs.append(ColumnSpec(source, "string"))
+    flat = flatten(records, outer=outer, maps=maps, on_duplicate=on_duplicate)
+    return project_typed(flat, specs, on_error)
 
 
 def malformed_lines(
