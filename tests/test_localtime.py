@@ -117,10 +117,11 @@ def test_departure_after_midnight(spark, clock, delay, expected):
     assert text(out) == [expected]
 
 
-def test_busy_place_is_not_shuffled_when_the_lookup_is_large(spark):
-    """A third in one place, a third nowhere; both are left where they are."""
+def test_busy_place_is_cut_when_the_lookup_is_large(spark, tmp_path):
+    """A third in one place, a third nowhere: one scan, one shuffle of each side."""
     place = F.when(F.col("id") % 3 == 0, "A").when(F.col("id") % 3 == 1, F.concat(F.lit("p"), F.col("id") % 7))
-    rows = spark.range(3000).select(place.alias("Origin"), (F.col("id") % 2).alias("n"))
+    spark.range(3000).select(place.alias("Origin"), (F.col("id") % 2).alias("n")).write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
     lookup = zones(spark, ("A", "Z/1"), ("p1", "Z/2"), ("p2", "Z/3"))
     counts = {}
     for limit in (None, 500):
@@ -129,7 +130,13 @@ def test_busy_place_is_not_shuffled_when_the_lookup_is_large(spark):
     small = attach_zone(rows, lookup, "Origin").groupBy("Origin", "n", "zone").count().collect()
     assert counts[None] == counts[500] == {tuple(r[:3]): r[3] for r in small}
     assert sum(v for k, v in counts[500].items() if k[2] == "Z/1") == 1000
-    assert "BroadcastHashJoin" in out._jdf.queryExecution().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("FileScan") == 1 and plan.count("SortMergeJoin") == 1
+    assert plan.count("hashpartitioning(Origin") == 1
 
 
 def test_small_means_rows_and_bytes(spark, monkeypatch):

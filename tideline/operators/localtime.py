@@ -7,12 +7,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tideline.functions.clock import local_clock, rolled_day, to_utc
-from tideline.operators.naming import column
+from tideline.operators.naming import column, has_order
 from tideline.operators.skew import ROWS_PER_TASK, busy_keys, key_matches
 from tideline.session import check_session, shared_folder
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
+# Groups that rows without a place are dealt out over
+_UNPLACED_GROUPS = 65_536
 
 
 @dataclass(frozen=True)
@@ -63,9 +65,8 @@ def attach_zone(
 
     Every row stays once; a place that is not listed gets a null zone. The
     lookup is broadcast if it is found to be small. Otherwise rows and lookup
-    are shuffled by place, but for rows without a place and places with
-    more than ``rows_per_task`` rows: these never move. In that case the
-    rows are read several times, so give stored ones.
+    are shuffled once, by place; places with more than ``rows_per_task`` rows
+    are cut into pieces for it. These are counted first, so give stored rows.
     """
     if out in df.columns:
         raise ValueError(f"column {out!r} is there already")
@@ -82,21 +83,29 @@ def attach_zone(
 def _join_large(
     df: DataFrame, lookup: DataFrame, key: str, matches: Column, rows_per_task: int | None
 ) -> DataFrame:
-    nowhere = df.where(column(key).isNull()).withColumn("_zone", F.lit(None).cast("string"))
-    placed = df.where(column(key).isNotNull())
-    busy, _ = busy_keys(placed, [key], rows_per_task)
-    if busy is None:
-        found = placed.join(lookup, matches, "left")
-    else:
-        # A zone per busy place, of which there are few, is small whatever the lookup.
-        marks = F.broadcast(busy.drop("_rows"))
-        few = lookup.join(marks, F.col("_code") == F.col("_k0"), "left_semi")
-        crowd = placed.join(marks, key_matches([key]), "left_semi")
-        others = placed.join(marks, key_matches([key]), "left_anti")
-        found = crowd.join(F.broadcast(few), matches, "left").unionByName(
-            others.join(lookup, matches, "left")
+    """One shuffled join, in which no task gets all rows of a busy place or all without a place.
+
+    Rows of a busy place are dealt out over pieces, and its few rows of the lookup are repeated for
+    each. Rows without a place meet nothing, wherever they go.
+    """
+    busy, _ = busy_keys(df, [key], rows_per_task)
+    whole = [column(f.name) for f in df.schema.fields if has_order(f.dataType)]
+    # The task's number parts copies of one row; content alone would keep them together.
+    deal = F.xxhash64(F.spark_partition_id(), *whole)
+    rows, zones, pieces = df, lookup.withColumn("_piece", F.lit(0)), F.lit(1)
+    if busy is not None:
+        marks = F.broadcast(
+            busy.select("_k0", F.ceil(2 * F.col("_rows") / rows_per_task).cast("int").alias("_pieces"))
         )
-    return found.drop("_code").unionByName(nowhere)
+        pieces = F.coalesce("_pieces", F.lit(1))
+        rows = df.join(marks, key_matches([key]), "left")
+        each = F.explode(F.sequence(F.lit(0), pieces - 1)).alias("_piece")
+        zones = lookup.join(marks, F.col("_code") == F.col("_k0"), "left").select(*lookup.columns, each)
+    own = F.when(column(key).isNull(), F.pmod(deal, F.lit(_UNPLACED_GROUPS))).otherwise(F.pmod(deal, pieces))
+    found = rows.withColumn("_own_piece", own.cast("int")).join(
+        zones, matches & (F.col("_own_piece") == F.col("_piece")), "left"
+    )
+    return found.select(*[column(c) for c in df.columns], "_zone")
 
 
 def local_to_utc(

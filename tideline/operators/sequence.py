@@ -6,10 +6,9 @@ import math
 from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from tideline.functions.clock import gap_seconds
-from tideline.operators.naming import as_list, column
+from tideline.operators.naming import as_list, column, has_order
 from tideline.operators.skew import ROWS_PER_TASK, busy_keys, key_matches
 from tideline.session import shared_folder
 
@@ -51,7 +50,7 @@ def next_event(
     keys = as_list(partition_by)
     carry = {"Reporting_Airline": "Airline_next"} if carry is None else dict(carry)
     made = [f"{order_by}_next", *carry.values(), gap]
-    ordered = [f.name for f in df.schema.fields if f.name not in made and _has_order(f.dataType)]
+    ordered = [f.name for f in df.schema.fields if f.name not in made and has_order(f.dataType)]
     ties = [c for c in dict.fromkeys([*tie_break, *carry, *ordered]) if c not in (*keys, order_by)]
     base = df.select(*[column(c) for c in df.columns if c not in made])
     follower = _follower(order_by, carry, day)
@@ -86,14 +85,6 @@ def _by_key(
     return df.withColumn(_NEXT, F.lead(follower).over(Window.partitionBy(*key_columns).orderBy(*order)))
 
 
-def _has_order(kind: DataType) -> bool:
-    if isinstance(kind, ArrayType):
-        return _has_order(kind.elementType)
-    if isinstance(kind, StructType):
-        return all(_has_order(field.dataType) for field in kind.fields)
-    return not isinstance(kind, (MapType, VariantType))
-
-
 def _follower(order_by: str, carry: Mapping[str, str], day: str | None) -> Column:
     parts = [column(order_by).alias("time")]
     parts += [column(c).alias(f"c{i}") for i, c in enumerate(carry)]

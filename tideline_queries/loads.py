@@ -114,6 +114,15 @@ def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shown(spark.read.table(table), ("gap",))
 
 
+def landing_stream_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four files with rows of all days, one file a batch: each day comes together again."""
+    folder, table = new_folder(spark, "landing"), new_table(spark, "landed")
+    as_json(departures(spark, sf_dir).repartition(4, "event_id")).drop("arrival").write.json(folder)
+    load = DailyLoad(config(table), zones(spark, sf_dir))
+    land_stream(spark, folder, load, new_folder(spark, "stream"), max_files=1).awaitTermination()
+    return shown(spark.read.table(table), ("gap",))
+
+
 def _stored(spark: SparkSession, sf_dir: str) -> tuple[str, DataFrame]:
     rows = departures(spark, sf_dir)
     table = new_table(spark, "days")
@@ -165,6 +174,7 @@ QUERIES = {
     "next_event_full_lookback": full_lookback,
     "daily_load": daily_load,
     "landing_stream": landing_stream,
+    "landing_stream_files": landing_stream_files,
 }
 
 SQL = {
@@ -181,4 +191,5 @@ FROM departures, ends""",
     "next_event_full_lookback": _loaded_sql(5),
     "daily_load": _loaded_sql(1),
     "landing_stream": _loaded_sql(1),
+    "landing_stream_files": _loaded_sql(1),
 }
