@@ -204,6 +204,16 @@ def test_fingerprint_links(spark, bucket):
     assert [groups[f] for f in signed] == want
 
 
+def test_components_of_a_hub(spark):
+    star = [(i, 0) for i in range(1, 4000)]
+    late = [(9000, i) for i in range(5000, 8000)]  # the largest node is the hub
+    chain = [(i + 1, i) for i in range(10_000, 10_040)]
+    pairs = spark.createDataFrame([*star, *late, *chain], "a bigint, b bigint")
+    out = simhash.components(pairs).collect()
+    want = {i: 0 for i in range(4000)} | {i: 5000 for i in [*range(5000, 8000), 9000]} | {i: 10_000 for i in range(10_000, 10_041)}
+    assert len(out) == len(want) and {r["node"]: r["root"] for r in out} == want
+
+
 def test_simhash_edges(odd, none):
     out = {(r["doc_id"], r["fingerprint"], r["component_id"]) for r in simhash.near_duplicate_report(odd).collect()}
     assert {r[2] for r in out if r[0] in (5, 6, 7)} == {5} and {r[1] for r in out if r[0] == 5} == {"0" * 16}

@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tideline.session import shared_folder
+from tideline.session import new_folder, shared_folder
 
 #: A group counts as hot from this share of all rows on; so at most 1 / HOT_SHARE groups are hot.
 HOT_SHARE = 0.001
@@ -39,6 +39,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The rows, written to the shared folder and read again.
+
+    For loops: a checkpoint keeps what is known of its columns, which grows with each round until
+    planning takes longer than the work.
+    """
+    folder = new_folder(df.sparkSession, label)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """A column name that ``df`` does not have yet (names are compared without case)."""
     taken = {c.lower() for c in df.columns}

@@ -16,7 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tideline.llm.shared import attach, checkpointed, fresh, one_of_repeated, small_batches
+from tideline.llm.shared import attach, checkpointed, fresh, one_of_repeated, small_batches, stored
 
 WORDS, LINK, SEED = 4, 4, 42
 #: A signature that more fingerprints may share gets a second signature from the other bits.
@@ -220,25 +220,33 @@ def links(fps: DataFrame, bucket: int = BUCKET) -> DataFrame:
     return near.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
+def _with_least(rows: DataFrame, edges: DataFrame) -> DataFrame:
+    """``rows`` (a, b) with ``m``, the smallest of ``a`` and its neighbours in ``edges`` (a, b).
+
+    A node with many neighbours, such as the root of a large group, is not left to one task.
+    """
+    least = edges.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"), F.count(F.lit(1)).alias("_size"))
+    return attach(rows, stored(least, "least"), "a", "_size", ["b"])
+
+
 def components(pairs: DataFrame) -> DataFrame:
     """(node, root) for nodes of pairs (a > b), the root being the smallest node reachable.
 
     Alternates two steps until nothing changes: each node hands its larger neighbours to its
     smallest one, then its smaller neighbours and itself. Both need one minimum per node.
     """
-    edges = checkpointed(pairs.select("a", "b"))
+    edges = stored(pairs.select("a", "b"), "links")
     before = None
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = checkpointed(large.distinct())
-        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        large = _with_least(both.where("b > a"), both).select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = stored(large.distinct(), "links")
+        met = _with_least(large, large)
         small = (
-            large.join(least, "a").where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-            .unionByName(least.select("a", F.col("m").alias("b")))
+            met.where("b > m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            .unionByName(large.groupBy("a").agg(F.min("b").alias("b")))
         )
-        edges = checkpointed(small.distinct())
+        edges = stored(small.distinct(), "links")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break
@@ -261,9 +269,11 @@ def fingerprint_groups(prints: DataFrame, bucket: int = BUCKET) -> DataFrame:
         own.join(found, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     )
     order = F.struct(F.col("first").isNull().alias("none"), F.col("first").alias("id"), F.col("fp").alias("fp"))
-    best = rooted.groupBy("root").agg(F.min(order).alias("best"))
+    best = checkpointed(
+        rooted.groupBy("root").agg(F.min(order).alias("best"), F.count(F.lit(1)).alias("size"))
+    )
     return checkpointed(
-        rooted.join(best, "root").select(
+        attach(rooted, best, "root", "size", ["fp"]).select(
             "fp", F.col("best.id").alias("component_id"), F.col("best.fp").alias("best_fp"), "n"
         )
     )
