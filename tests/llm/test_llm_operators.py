@@ -352,6 +352,19 @@ def test_url_rules(spark):
     assert url_rules.judge_urls(pages, labels.limit(0)).count() == 129
 
 
+def test_url_deep_segments(spark):
+    """Third and further segments tell bad from good, beside paths with many common ones."""
+    common = "/".join(f"part{chr(97 + k)}" for k in range(24))
+    urls = [f"http://x{i % 3}.net/a/b/{'casino' if i % 2 else 'garden'}/{i}" for i in range(80)]
+    urls += [f"http://x.net/a/b/{common}/{'dice' if i % 2 else 'tree'}" for i in range(80)]
+    pages = spark.createDataFrame([*enumerate(urls), (160, "http://new.net/c/d/e/casino/7")], "page_id bigint, url string")
+    labels = spark.createDataFrame([(i, int(i % 2 == 0), 0, "") for i in range(160)], LABELS)
+    out = {r["page_id"]: r for r in url_rules.judge_urls(pages, labels).collect()}
+    assert {out[i]["verdict"] for i in range(1, 160, 2)} == {"block"} and out[160]["verdict"] == "block"
+    assert {out[i]["verdict"] for i in range(0, 160, 2)} == {"allow"}
+    assert out[160]["confidence"] == 1.0 and "p=casino" in out[160]["mined_rule"]
+
+
 # Token counts
 
 
