@@ -386,3 +386,14 @@ def test_rollup(spark, odd, none, tmp_path):
     rollup.commit("5", token_rollup.inserts(token_rollup.counted(none, PATH, "v1")))
     assert rollup.totals().count() == 0
     assert json.dumps(token_rollup.KEYS)
+
+
+def test_rollup_report_ids(spark, tmp_path):
+    """Rows that share an id, or have none, are revised each by itself."""
+    texts = [(7, "a#b"), (7, "plain"), (None, "c#d|e"), (None, "none"), (8, "x#y"), (8, "bad"), (9, None), (10, "w# " * 20_000), (10, "long " * 20_000)]
+    labels = spark.createDataFrame([(8, 1, 1, ""), (None, 1, 1, "")], LABELS)
+    out = token_rollup.rollup_report(spark, spark.createDataFrame(rows_of(texts), DOCS), labels, PATH, str(tmp_path / "ids"))
+    tokenizer = bpe.codec(PATH).tokenizer
+    left = ["".join(c for c in t or "" if c not in "#*$%&|<>") for i, t in texts if i != 8]
+    want = sum(len(tokenizer.encode(t, add_special_tokens=False).ids) for t in left)
+    assert [(r["documents"], r["tokens"]) for r in out.collect()] == [(len(left), want)]

@@ -28,6 +28,23 @@ def counted(docs: DataFrame, path: str, version: str) -> DataFrame:
     )
 
 
+def counted_both(docs: DataFrame, path: str, version: str) -> DataFrame:
+    """(doc_id, source, lang, version, changed, cleaned, tokens): a row for each text as it is and,
+    if it has symbols (``changed``), one more for the text without them (``cleaned``)."""
+    changed = F.coalesce(F.col("text").rlike(SYMBOLS), F.lit(False))
+    own = F.struct(F.lit(False).alias("cleaned"), F.col("text").alias("text"))
+    new = F.struct(F.lit(True).alias("cleaned"), F.regexp_replace("text", SYMBOLS, "").alias("text"))
+    texts = docs.select(
+        "doc_id", "source", "lang", changed.alias("changed"),
+        F.inline(F.when(changed, F.array(own, new)).otherwise(F.array(own))),
+    )
+    keys = F.struct("doc_id", "source", "lang", "changed", "cleaned")
+    ids = encode_documents(texts.select(keys.alias("doc_id"), "text"), path)
+    return ids.select(
+        "doc_id.*", F.lit(version).alias("version"), (F.length("ids") / 4).cast("bigint").alias("tokens")
+    )
+
+
 def _change(rows: DataFrame, sign: int) -> DataFrame:
     return rows.select(
         *KEYS, F.lit(sign).cast("bigint").alias("documents"), (F.lit(sign) * F.col("tokens")).cast("bigint").alias("tokens")
@@ -98,17 +115,17 @@ def rollup_report(
     """Loads all documents, takes down the toxic ones, revises those with symbols to their text
     without, and sends the takedown once more, which changes nothing.
 
-    Counts are stored by document, so a change joins ids and numbers, never texts.
+    What a row counts with and without symbols is stored side by side in one pass, and deletes and
+    inserts come from the same stored rows, so ids may be null or repeated.
     """
-    counts = checkpointed(counted(docs, path, version))
+    counts = checkpointed(counted_both(docs, path, version))
     rollup = TokenRollup(spark, folder)
     toxic = labels.where("toxic = 1").select("doc_id").distinct()
-    gone = counts.join(toxic, "doc_id", "left_semi")
-    cleaned = docs.where(F.col("text").rlike(SYMBOLS)).withColumn("text", F.regexp_replace("text", SYMBOLS, ""))
-    new = checkpointed(counted(cleaned, path, version)).join(toxic, "doc_id", "left_anti")
-    old = counts.join(new.select("doc_id"), "doc_id", "left_semi")
-    rollup.commit("load", inserts(counts))
+    loaded = counts.where(~F.col("cleaned"))
+    gone = loaded.join(toxic, "doc_id", "left_semi")
+    revised = counts.where("changed").join(toxic, "doc_id", "left_anti")
+    rollup.commit("load", inserts(loaded))
     rollup.commit("takedown", deletes(gone))
-    rollup.commit("revision", revisions(old, new))
+    rollup.commit("revision", revisions(revised.where(~F.col("cleaned")), revised.where("cleaned")))
     rollup.commit("takedown", deletes(gone))
     return rollup.totals()
