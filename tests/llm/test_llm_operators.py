@@ -270,6 +270,25 @@ def test_language_edges(spark, odd, none):
     assert {r["lang_pred"] for r in langid.predict(odd, None).collect()} == {"und"}
 
 
+def test_rare_language(spark):
+    """One short text beside several hundred thousand counts of other languages keeps its whole tree."""
+    rng = random.Random(2)
+    many = [(i, "".join(rng.choices("abcdefghijklmnopqrstuvwxyz0123456789 ", k=2000)), f"l{i % 5}") for i in range(400)]
+    rare = "жук и рак"
+    frame = spark.createDataFrame([*many, (400, rare, "zz")], "doc_id bigint, text string, lang string")
+    model = langid.train(frame)
+    assert model.languages == ["l0", "l1", "l2", "l3", "l4", "zz"]
+    assert len(np.unique(np.concatenate([langid._codes(t) for _, t, _ in many]))) > 400_000
+    found = langid.predict(frame.where("doc_id = 400"), model).first()
+    assert found["lang_pred"] == "zz" and found["score"] > 0.99
+    # Blocks give what one table of all languages gives.
+    counts = pd.DataFrame([(lang, int(c), 1) for _, t, lang in [*many[:10], (400, rare, "zz")] for c in langid._codes(t)], columns=["lang", "code", "n"])
+    blocks, one = langid.Languages.of(counts), langid.ByteTrees.of(counts)
+    assert len(blocks.blocks) == 2 and blocks.languages == one.languages
+    for text in (rare, "abc 012", "ü"):
+        assert blocks.code_lengths(text) == pytest.approx(one.code_lengths(text))
+
+
 # Toxicity
 
 

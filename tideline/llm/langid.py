@@ -20,8 +20,9 @@ from tideline.llm.shared import fold_number, small_batches
 ORDER = 3
 #: About so many documents of each language are learned from, taken by a hash of the id.
 SAMPLE = 2_000
-#: Most frequent (language, context and byte) counts that a model keeps; bounds its size.
-MAX_COUNTS = 400_000
+#: Languages that share the tables of a model. A table has a number per language for each context
+#: and byte that one of them knows, so its size stays in proportion to the counts.
+BLOCK = 4
 
 
 def _codes(text: str) -> np.ndarray:
@@ -93,11 +94,34 @@ class ByteTrees:
         return bits
 
 
-def train(labelled: DataFrame, sample: int = SAMPLE, max_counts: int = MAX_COUNTS) -> ByteTrees | None:
+@dataclass
+class Languages:
+    """Trees of any number of languages, a few to a block."""
+
+    blocks: list[ByteTrees]
+
+    @staticmethod
+    def of(counts: pd.DataFrame, block: int = BLOCK) -> Languages:
+        names = sorted(counts["lang"].unique())
+        return Languages([
+            ByteTrees.of(counts[counts["lang"].isin(names[i : i + block])]) for i in range(0, len(names), block)
+        ])
+
+    @property
+    def languages(self) -> list[str]:
+        return [lang for trees in self.blocks for lang in trees.languages]
+
+    def code_lengths(self, text: str) -> np.ndarray:
+        """Bits for the whole text, per language."""
+        return np.concatenate([trees.code_lengths(text) for trees in self.blocks])
+
+
+def train(labelled: DataFrame, sample: int = SAMPLE) -> Languages | None:
     """Trees from rows (doc_id, text, lang); null texts and languages are left out.
 
     Whole texts of a bounded sample are counted by Spark: of each language a hash of the id
-    takes the share that gives ``sample`` documents on average. None if there is nothing to learn.
+    takes the share that gives ``sample`` documents on average. All their counts are kept, so no
+    language is thinned by others. None if there is nothing to learn.
     """
     small_batches(labelled.sparkSession)
     usable = labelled.where("text IS NOT NULL AND lang IS NOT NULL")
@@ -119,14 +143,12 @@ def train(labelled: DataFrame, sample: int = SAMPLE, max_counts: int = MAX_COUNT
         .mapInPandas(count, "lang string, code bigint, n bigint")
         .groupBy("lang", "code")
         .agg(F.sum("n").alias("n"))
-        .orderBy(F.desc("n"), "lang", "code")
-        .limit(max_counts)
         .toPandas()
     )
-    return ByteTrees.of(counts) if len(counts) else None
+    return Languages.of(counts) if len(counts) else None
 
 
-def predict(docs: DataFrame, model: ByteTrees | None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+def predict(docs: DataFrame, model: Languages | None, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """doc_id, lang_pred and score for whole texts.
 
     The score is the language's share of 2 ** -length, from equal odds. A null text, one without a
@@ -134,18 +156,19 @@ def predict(docs: DataFrame, model: ByteTrees | None, text: str = "text", doc_id
     """
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(model)  # at most MAX_COUNTS entries an order
+    shared = spark.sparkContext.broadcast(model)  # as large as the counts of the sample
 
     @F.pandas_udf("lang_pred string, score double")
     def run(texts: pd.Series) -> pd.DataFrame:
         trees, out = shared.value, []
+        names = [] if trees is None else trees.languages
         for value in texts:
             if trees is None or value is None or not any(map(str.isalpha, value)):
                 out.append(("und", 0.0))
                 continue
             bits = trees.code_lengths(value)
             best = int(np.argmin(bits))
-            out.append((trees.languages[best], float(1 / np.exp2(np.maximum(bits[best] - bits, -1000)).sum())))
+            out.append((names[best], float(1 / np.exp2(np.maximum(bits[best] - bits, -1000)).sum())))
         return pd.DataFrame(out, columns=["lang_pred", "score"])
 
     found = docs.select(F.col(doc_id).alias("doc_id"), run(F.col(text)).alias("r"))
