@@ -130,6 +130,19 @@ def test_packing(odd, none):
     assert packing.packing_report(none, PATH).count() == 0
 
 
+def test_packing_buckets(spark, odd, tmp_path):
+    report = packing.packing_report(odd, PATH).toPandas()
+    assert (report["length"] == 2 ** report["bucket"]).all()
+    packing.write_buckets(packing.pack_documents(odd, PATH), str(tmp_path / "buckets"))
+    folders = {f.name for f in (tmp_path / "buckets").glob("bucket=*")}
+    assert folders == {f"bucket={k}" for k in report["bucket"]}
+    for folder in folders:
+        part = spark.read.parquet(str(tmp_path / "buckets" / folder))
+        length = 2 ** int(folder.removeprefix("bucket="))
+        assert {tuple(r) for r in part.select("length", F.length("piece_ids")).distinct().collect()} == {(length, 4 * length)}
+        assert part.count() == (report["length"] == length).sum()
+
+
 # Conversations
 
 

@@ -74,5 +74,5 @@ def packing_report(docs: DataFrame, path: str) -> DataFrame:
     pieces = pack_documents(docs, path)
     return pieces.select(
         "doc_id", "start", "length", F.crc32("piece_ids").alias("ids_crc32"), "doc_tokens",
-        "sequence_id", "offset",
+        "sequence_id", "offset", "bucket",
     )
