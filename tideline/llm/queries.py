@@ -8,7 +8,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from tideline.llm import (
-    bpe, chat, exact_dedup, langid, packing, quality, simhash, token_rollup, toxicity, url_rules,
+    bpe, chat, divergence, exact_dedup, langid, mixing, packing, quality, simhash, token_rollup, toxicity,
+    url_rules,
 )
 from tideline.llm.shared import read
 from tideline.session import new_folder
@@ -61,6 +62,14 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence_report(read(spark, sf_dir, "documents"))
+
+
+def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixing_report(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -71,11 +80,14 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_url_rules, op2_exact_dedup, op3_bpe_round_trip, op4_chat_trees, op5_toxicity,
-        op6_token_rollup, op7_simhash, op8_language, op9_packing, op10_quality_rules, pipeline,
+        op6_token_rollup, op7_simhash, op8_language, op9_packing, op10_quality_rules,
+        op11_source_divergence, op13_mixing, pipeline,
     )
 }
 
 SQL = {
+    "op11_source_divergence": divergence.SQL,
+    "op13_mixing": mixing.SQL,
     "op2_exact_dedup": r"""
 WITH d AS (
   SELECT doc_id, length(coalesce(text, '')) AS n,
