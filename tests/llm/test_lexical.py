@@ -1,0 +1,133 @@
+"""Ranked search against plain scores, and what pair bounds skip."""
+
+import math
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tideline.llm import lexical
+
+DOCS = "doc_id bigint, text string, score string, query int, rank string, salt int"
+ITEMS = "item_id bigint, text string, doc_id int, score int"
+TERM = re.compile("[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+")
+
+
+def terms(text):
+    return [t.translate({k: k + 32 for k in range(65, 91)}) for t in TERM.findall(text or "")]
+
+
+def plain_search(docs, items, top=10):
+    found = [(i, Counter(terms(t))) for i, t in docs]
+    lengths = [sum(c.values()) for _, c in found]
+    documents, words = sum(n > 0 for n in lengths), sum(lengths)
+    df = Counter(t for _, c in found for t in c)
+    out = Counter()
+    for item, text in items:
+        scored = []
+        for (i, c), n in zip(found, lengths):
+            score = 0
+            for t in set(terms(text)) & set(c):
+                w = math.floor(1000 * math.log((2 * documents + 2) / (2 * df[t] + 1)))
+                score += w * (10**9 * c[t] // (1000 * c[t] + 8 * (10 + 90 * n * documents // words)))
+            if score > 0:
+                scored.append((-score, i is None, i or 0, i))
+        out.update((item, k + 1, s[3], -s[0]) for k, s in enumerate(sorted(scored, key=lambda s: s[:3])[:top]))
+    return out
+
+
+def searched(spark, docs, items, **more):
+    left = spark.createDataFrame([(i, t, "x", 1, "y", 2) for i, t in docs], DOCS).repartition(3)
+    right = spark.createDataFrame([(i, t, 1, 2) for i, t in items], ITEMS)
+    out = lexical.search_report(left, right, **more)
+    assert out.columns == ["item_id", "rank", "doc_id", "score"]
+    return Counter(map(tuple, out.collect()))
+
+
+def some_texts(rnd, n, kinds=60, most=40):
+    words = [f"w{int(k)}" for k in range(kinds)] + ["É", "日本", "Abc"]
+    weight = [1 / (k + 1) for k in range(len(words))]
+    return [" ".join(rnd.choices(words, weight, k=rnd.randint(0, most))) for _ in range(n)]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_against_plain_scores(spark, seed):
+    rnd = random.Random(seed)
+    docs = [(k if k % 9 else 50, t) for k, t in enumerate(some_texts(rnd, 150))]
+    items = list(enumerate(some_texts(rnd, 12)))
+    assert searched(spark, docs, items) == plain_search(docs, items)
+    assert searched(spark, docs, items, query_bytes=60, top=3) == plain_search(docs, items, 3)
+
+
+def test_odd_rows(spark):
+    docs = [
+        (1, None), (2, ""), (3, "same words here"), (4, "same words here"), (4, "same words here"), (None, "Same words here!"),
+        (6, "long " * 40_000 + "rare"), (7, "x-y_z 12"), (8, "...")] + [(20 + k, "filler text") for k in range(15)]
+    items = [(1, "same WORDS, same words"), (2, None), (3, "nothing known"), (None, "rare 12"), (5, "filler"), (5, "x y")]
+    assert searched(spark, docs, items) == plain_search(docs, items)
+    assert searched(spark, [], items) == Counter()
+    assert searched(spark, docs, []) == Counter()
+
+
+def test_segments_are_rows_and_can_be_stored(spark, tmp_path):
+    rnd = random.Random(3)
+    docs = list(enumerate(some_texts(rnd, 300)))
+    items = some_texts(rnd, 5)
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
+    queries = lexical.measure(frame, lexical.Queries.of(items))
+    lexical.build_index(frame, queries, postings=100).write.parquet(str(tmp_path / "index"))
+    index = spark.read.parquet(str(tmp_path / "index"))
+    found = lexical.search(index, queries).select("query", F.col("rank"), "doc_id", "score").collect()
+    assert Counter(map(tuple, found)) == plain_search(docs, list(enumerate(items)))
+
+
+def segment_of(docs, asked):
+    queries = lexical.Queries.of(asked)
+    found = [Counter(lexical.terms_of(t)) for t in docs]
+    df = Counter(queries.numbers[t] for c in found for t in c if t in queries.numbers)
+    queries.weigh(len(docs), sum(sum(c.values()) for c in found), df)
+    rows = []
+    for k, c in enumerate(found):
+        held = np.array([(queries.numbers[t], n) for t, n in c.items() if t in queries.numbers], np.int64).reshape(-1, 2)
+        length = 10 + 90 * sum(c.values()) * queries.documents // queries.words
+        rows.append((np.full(len(held), k), held[:, 0], 10**9 * held[:, 1] // (1000 * held[:, 1] + 8 * length)))
+    return lexical.Segment.of(list(range(len(docs))), rows, queries), queries
+
+
+def test_pair_lists_and_bounds():
+    rnd = random.Random(4)
+    segment, queries = segment_of(some_texts(rnd, 200), some_texts(rnd, 10))
+    lists, joint = segment.lists(queries.weights), segment.joint()
+    assert joint
+    for (a, b), sums in joint.items():
+        impacts = [dict(zip(*(x.tolist() for x in lists[t]))) for t in (a, b)]
+        want = sorted((impacts[0][d] + impacts[1][d] for d in impacts[0].keys() & impacts[1].keys()), reverse=True)
+        assert sums.tolist() == want
+    greatest = {t: int(i.max()) for t, (_, i) in lists.items()}
+    for item in queries.items:
+        chain = [t for t in item if t in lists]
+        rest = lexical.bounds(chain, greatest, joint)
+        for k in range(len(chain) + 1):
+            score = Counter()
+            for t in chain[k:]:
+                score.update(dict(zip(*(x.tolist() for x in lists[t]))))
+            assert max(score.values(), default=0) <= rest[k] <= sum(greatest[t] for t in chain[k:])
+
+
+def test_pairs_skip_more_than_single_terms():
+    rnd = random.Random(5)
+    segment, queries = segment_of(some_texts(rnd, 3000, kinds=800, most=30), some_texts(rnd, 40, kinds=800))
+    lists, joint = segment.lists(queries.weights), segment.joint()
+    greatest = {t: int(i.max()) for t, (_, i) in lists.items()}
+    skipped = []
+    for pairs in (joint, {}):
+        seen, out = Counter(), []
+        for item in queries.items:
+            docs, scores = lexical.best_of(segment, lists, pairs, greatest, item, 10, 1, seen)
+            out.append(list(zip(docs.tolist(), scores.tolist())))
+        skipped.append((seen["skipped"], out))
+    assert skipped[0][1] == skipped[1][1]
+    assert skipped[0][0] > skipped[1][0] > 0

@@ -8,8 +8,8 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 from tideline.llm import (
-    bpe, chat, divergence, exact_dedup, langid, mixing, packing, quality, simhash, token_rollup, toxicity,
-    url_rules,
+    bpe, chat, divergence, exact_dedup, langid, lexical, mixing, packing, quality, simhash, token_rollup,
+    toxicity, url_rules,
 )
 from tideline.llm.shared import read
 from tideline.session import new_folder
@@ -66,6 +66,10 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence_report(read(spark, sf_dir, "documents"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op13_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixing_report(read(spark, sf_dir, "documents"))
 
@@ -81,12 +85,13 @@ QUERIES = {
     for f in (
         op1_url_rules, op2_exact_dedup, op3_bpe_round_trip, op4_chat_trees, op5_toxicity,
         op6_token_rollup, op7_simhash, op8_language, op9_packing, op10_quality_rules,
-        op11_source_divergence, op13_mixing, pipeline,
+        op11_source_divergence, op12_lexical_search, op13_mixing, pipeline,
     )
 }
 
 SQL = {
     "op11_source_divergence": divergence.SQL,
+    "op12_lexical_search": lexical.SQL,
     "op13_mixing": mixing.SQL,
     "op2_exact_dedup": r"""
 WITH d AS (
