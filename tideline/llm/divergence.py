@@ -14,6 +14,7 @@ that are repeated count each time; no rows give no rows.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,17 +24,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tideline.llm.shared import checkpointed, small_batches
-from tideline.llm.transducer import Shelf, Transducer
+from tideline.llm.transducer import Shelf, Transducer, heads
 
 MIN_DOCUMENTS, TOP_TERMS = 3, 200
 SCALE = 1_000_000_000
 #: Terms in one transducer, and bytes of transducers that are broadcast at once.
 RANGE_TERMS, BLOCK_BYTES = 50_000, 64 * 1024 * 1024
 #: Ordinals whose counts meet in one group, and counts that a task holds before it sends them on.
-ORDINALS, HELD = 4_096, 2_000_000
-TERM = "[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-_FOLD = bytes.maketrans(_UPPER.encode(), _LOWER.encode())
+ORDINALS, HELD = 4_096, 1_000_000
+_FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
 def _grouped(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
@@ -43,12 +42,76 @@ def _grouped(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
     )
 
 
+class Tally:
+    """Counts by key that come in pieces; merged whenever twice as many are held as after the last time."""
+
+    def __init__(self) -> None:
+        self.keys: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+        self.held, self.limit = 0, HELD // 4
+
+    def add(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        self.keys.append(keys)
+        self.counts.append(counts)
+        self.held += len(keys)
+        if self.held > self.limit:
+            self.merged()
+            self.limit = max(HELD // 4, 2 * self.held)
+
+    def merged(self) -> tuple[np.ndarray, np.ndarray]:
+        keys, where = np.unique(np.concatenate(self.keys), return_inverse=True)
+        counts = np.bincount(where, np.concatenate(self.counts), len(keys)).astype(np.int64)
+        self.keys, self.counts, self.held = [keys], [counts], len(keys)
+        return keys, counts
+
+
+def _places(batch: pa.RecordBatch) -> dict[str, list[int]]:
+    """Rows of each language, which is the first column."""
+    out: dict[str, list[int]] = {}
+    for i, lang in enumerate(batch.column(0).to_pylist()):
+        out.setdefault(lang, []).append(i)
+    return out
+
+
 def kept_terms(grouped: DataFrame, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
     """lang and term for the terms of at least so many documents of the language."""
-    found = F.array_distinct(F.regexp_extract_all(F.translate("text", _UPPER, _LOWER), F.lit(TERM), 0))
+    small_batches(grouped.sparkSession)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        short: dict[str, Tally] = {}
+        long: dict[str, Counter] = {}
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            for lang in {*short, *long}:
+                numbers, n = short[lang].merged() if lang in short else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+                spelt = numbers.astype(">u8").tobytes()
+                terms = [spelt[i : i + 8].rstrip(b"\0") for i in range(0, len(spelt), 8)]
+                more = long.get(lang, Counter())
+                column = pa.array([*terms, *more], pa.binary()).cast(pa.string())
+                counts = pa.array([*n.tolist(), *more.values()], pa.int64())
+                yield pa.record_batch([pa.repeat(lang, len(column)), column, counts], ["lang", "term", "documents"])
+
+        for batch in batches:
+            for lang, places in _places(batch).items():
+                texts = batch.column(1).take(pa.array(places)).to_pylist()
+                data, begin, length, text = _terms_in(texts)
+                fits, number = length <= 8, heads(data, begin, length)
+                order = np.argsort(number[fits], kind="stable")
+                number, holder = number[fits][order], text[fits][order]
+                # The texts are in order, so a term's repeats within a text are neighbours.
+                again = (number[1:] == number[:-1]) & (holder[1:] == holder[:-1])
+                short.setdefault(lang, Tally()).add(*np.unique(number[np.append(True, ~again)[: len(number)]], return_counts=True))
+                whole = data.tobytes()
+                found = {(int(t), whole[b : b + n]) for t, b, n in zip(text[~fits], begin[~fits], length[~fits])}
+                long.setdefault(lang, Counter()).update(term for _, term in found)
+            if sum(t.held for t in short.values()) + sum(map(len, long.values())) > HELD:
+                yield from rows()
+                short, long = {}, {}
+        yield from rows()
+
     return (
-        grouped.select("lang", F.explode(found).alias("term"))
-        .groupBy("lang", "term").agg(F.count(F.lit(1)).alias("documents"))
+        grouped.select("lang", "text").mapInArrow(count, "lang string, term string, documents bigint")
+        .groupBy("lang", "term").agg(F.sum("documents").alias("documents"))
         .where(F.col("documents") >= min_documents).select("lang", "term")
     )
 
@@ -145,6 +208,16 @@ def _terms_in(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.
     return data, begin, length, np.searchsorted(ends, begin, "right")
 
 
+def _ordinals(shelf: Shelf, data: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """As ``shelf.ordinals``; a short term that the texts repeat goes through once."""
+    out = np.empty(len(begin), np.int64)
+    fits = length <= 8
+    _, first, where = np.unique(heads(data, begin, length)[fits], return_index=True, return_inverse=True)
+    out[fits] = shelf.ordinals(data, begin[fits][first], length[fits][first])[where]
+    out[~fits] = shelf.ordinals(data, begin[~fits], length[~fits])
+    return out
+
+
 def count_terms(grouped: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """lang, source, ordinal and count, from whole texts streamed through the transducers."""
     spark = grouped.sparkSession
@@ -156,9 +229,10 @@ def count_terms(grouped: DataFrame, vocabulary: Vocabulary) -> DataFrame:
 
         def count(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             names: dict[tuple[str, str], int] = {}
-            keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            tally = Tally()
 
             def rows() -> pa.RecordBatch:
+                keys, counts = tally.merged()
                 group, ordinal = keys >> 40, keys & ((1 << 40) - 1)
                 lists = [pa.array([n[i] for n in names], pa.string()) for i in (0, 1)]
                 return pa.record_batch(
@@ -167,22 +241,17 @@ def count_terms(grouped: DataFrame, vocabulary: Vocabulary) -> DataFrame:
                 )
 
             for batch in batches:
-                columns = [batch.column(i).to_pylist() for i in range(3)]
-                by_lang: dict[str, list[int]] = {}
-                for i, lang in enumerate(columns[0]):
-                    by_lang.setdefault(lang, []).append(i)
-                for lang, places in by_lang.items():
-                    data, begin, length, text = _terms_in([columns[2][i] for i in places])
-                    ordinal = shared.value[lang].ordinals(data, begin, length)
-                    group = np.array([names.setdefault((lang, columns[1][i]), len(names)) for i in places])
+                sources = batch.column(1).to_pylist()
+                for lang, places in _places(batch).items():
+                    data, begin, length, text = _terms_in(batch.column(2).take(pa.array(places)).to_pylist())
+                    ordinal = _ordinals(shared.value[lang], data, begin, length)
+                    group = np.array([names.setdefault((lang, sources[i]), len(names)) for i in places])
                     known = ordinal >= 0
-                    new, n = np.unique((group[text[known]] << 40) | ordinal[known], return_counts=True)
-                    keys, where = np.unique(np.concatenate([keys, new]), return_inverse=True)
-                    counts = np.bincount(where, np.concatenate([counts, n])).astype(np.int64)
-                if len(keys) > HELD:
+                    tally.add(*np.unique((group[text[known]] << 40) | ordinal[known], return_counts=True))
+                if tally.held > HELD:
                     yield rows()
-                    names, keys, counts = {}, keys[:0], counts[:0]
-            if len(keys):
+                    names, tally = {}, Tally()
+            if tally.held:
                 yield rows()
 
         part = grouped.where(F.col("lang").isin(langs)).select("lang", "source", "text").mapInArrow(

@@ -98,6 +98,16 @@ class Transducer:
         return bytes(out)
 
 
+def heads(data: np.ndarray, begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The first eight bytes of each term as a number that orders as they do; shorter terms end in zeros."""
+    if not len(begin):
+        return np.zeros(0, np.uint64)
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    eight = np.lib.stride_tricks.sliding_window_view(padded, 8)[begin]
+    unused = (8 * np.maximum(0, 8 - length)).astype(np.uint64)
+    return (np.ascontiguousarray(eight).view(">u8")[:, 0].astype(np.uint64) >> unused) << unused
+
+
 @dataclass(frozen=True)
 class Shelf:
     """Transducers of consecutive ranges of terms side by side, as one machine with many starts.
@@ -137,10 +147,7 @@ class Shelf:
         out = np.full(len(begin), -1, np.int64)
         if not len(begin) or not len(self.machine.steps):
             return out
-        number = np.zeros(len(begin), np.uint64)
-        for k in range(8):
-            byte = np.where(length > k, data[np.minimum(begin + k, len(data) - 1)], 0)
-            number = (number << np.uint64(8)) | byte.astype(np.uint64)
+        number = heads(data, begin, length)
         shelf = np.searchsorted(self.firsts, number, "right") - 1
         active = np.flatnonzero(shelf >= 0)
         state, total = self.starts[shelf[active]], self.bases[shelf[active]]
