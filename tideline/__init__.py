@@ -15,7 +15,7 @@ from tideline.operators import (
     quality_report,
     zone_lookup,
 )
-from tideline.plans import DailyLoad, LoadConfig, overwrite_days
+from tideline.plans import DailyLoad, DayStore, LoadConfig, VersionedLoad, overwrite_days
 from tideline.session import build_session, check_session, shared_folder
 from tideline.sources import (
     day_slice,
@@ -30,7 +30,9 @@ from tideline.streaming import land_stream
 __all__ = [
     "ColumnSpec",
     "DailyLoad",
+    "DayStore",
     "LoadConfig",
+    "VersionedLoad",
     "ZoneLookup",
     "align_union",
     "attach_zone",

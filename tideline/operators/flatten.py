@@ -18,6 +18,7 @@ def flatten(
     outer: bool = False,
     maps: str = "keep",
     on_duplicate: str = "error",
+    whole: str | None = None,
 ) -> DataFrame:
     """Explode every array and expand every struct, at any depth.
 
@@ -26,6 +27,8 @@ def flatten(
     or null. ``maps`` says what becomes of map columns; exploding gives
     ``<name>_key`` and ``<name>_value``. Names that would clash raise, or get
     the name of their parent in front with ``on_duplicate="prefix"``.
+    Rows in which the column ``whole`` is not null stay one row each, whatever
+    their arrays hold.
     """
     if maps not in MAP_MODES or on_duplicate not in DUPLICATE_MODES:
         raise ValueError(f"maps must be one of {MAP_MODES}, on_duplicate one of {DUPLICATE_MODES}")
@@ -34,7 +37,7 @@ def flatten(
         nested = _first_to_explode(df, maps)
         if nested is None:
             return df
-        df = _explode_one(df, nested, outer)
+        df = _explode_one(df, nested, outer, whole)
 
 
 def _expand_structs(df: DataFrame, maps: str, on_duplicate: str) -> DataFrame:
@@ -79,17 +82,22 @@ def _first_to_explode(df: DataFrame, maps: str) -> str | None:
     return None
 
 
-def _explode_one(df: DataFrame, name: str, outer: bool) -> DataFrame:
+def _explode_one(df: DataFrame, name: str, outer: bool, whole: str | None) -> DataFrame:
     """One generator per projection: the same answer on every Spark version."""
-    explode = F.explode_outer if outer else F.explode
+    explode, value = F.explode_outer if outer else F.explode, column(name)
     is_map = isinstance(df.schema[name].dataType, MapType)
     made = [f"{name}_key", f"{name}_value"] if is_map else [name]
     taken = {c.lower() for c in df.columns if c != name}
     if is_map and any(m.lower() in taken for m in made):
         raise ValueError(f"map {name!r} needs the names {made}, which are taken")
+    if whole is not None:
+        kept = column(whole).isNotNull()
+        if not outer:
+            df = df.where(kept | (F.size(value) > 0))
+        explode, value = F.explode_outer, F.when(~kept, value)
     return df.select(
         *[
-            explode(column(c)).alias(*made) if c == name else column(c)
+            explode(value).alias(*made) if c == name else column(c)
             for c in df.columns
         ]
     )

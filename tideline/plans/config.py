@@ -20,7 +20,9 @@ class LoadConfig:
     """What to read, which columns play which part, and where to write.
 
     ``lookback_days`` is how many days later a successor may be; 1 repairs
-    the previous day only. ``output_partitions`` aims at a number of write
+    the previous day only, None sets no limit. ``delay`` names a column with minutes behind schedule: a
+    row is then stored under the day it really left on, with the day of its file in ``source_day``.
+    ``VersionedLoad`` knows the last two, ``DailyLoad`` does not. ``output_partitions`` aims at a number of write
     tasks; None leaves it to the size of the data. ``output_path`` makes the
     table an external one at its first load.
     """
@@ -29,7 +31,7 @@ class LoadConfig:
     output_table: str
     output_partitions: int | None = None
     output_path: str | None = None
-    lookback_days: int = 1
+    lookback_days: int | None = 1
     # Fixed names of the flight record
     key: str = "Origin"
     day: str = "FlightDate"
@@ -42,6 +44,8 @@ class LoadConfig:
     # Order of events at the same minute
     tie_break: tuple[str, ...] = ()
     roll_2400: bool = False
+    delay: str | None = None
+    source_day: str = "SourceDate"
     on_error: str = "null"
     multiline: bool = False
     # How nested records are flattened
@@ -54,7 +58,7 @@ class LoadConfig:
     rows_per_task: int | None = ROWS_PER_TASK
 
     def __post_init__(self) -> None:
-        if self.lookback_days < 0:
+        if self.lookback_days is not None and self.lookback_days < 0:
             raise ValueError("lookback_days must not be negative")
 
     @property

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Iterator
 from contextlib import ExitStack, contextmanager
 from datetime import date
@@ -17,7 +18,7 @@ from tideline.operators.union import align_to
 from tideline.plans.config import LoadConfig
 from tideline.plans.partitions import evolved_schema, overwrite_days
 from tideline.session import check_session, new_table
-from tideline.sources.json_events import read_events_json
+from tideline.sources.json_events import MALFORMED, SOURCE_FILE, read_events_json
 from tideline.sources.tables import day_slice, neighbouring_days
 
 _CONTEXT = "_context"
@@ -43,6 +44,19 @@ def staged(df: DataFrame, label: str = "batch", keep: bool = False) -> Iterator[
     spark.sql(f"DROP TABLE IF EXISTS {table}")
 
 
+def split_malformed(rows: DataFrame, day: str) -> tuple[DataFrame, DataFrame]:
+    """The stored rows of a read with ``on_error="store"``, and its malformed records.
+
+    The latter are (file, day, text); the day is the first one of their file's other rows, if any.
+    """
+    marked = rows.where(column(MALFORMED).isNotNull()).select(
+        column(SOURCE_FILE).alias("file"), column(MALFORMED).alias("text")
+    )
+    good = rows.where(column(MALFORMED).isNull())
+    days = good.groupBy(column(SOURCE_FILE).alias("file")).agg(F.min(column(day)).alias("day"))
+    return good.drop(MALFORMED, SOURCE_FILE), marked.join(days, "file", "left").select("file", "day", "text")
+
+
 class DailyLoad:
     """Loads event files into the output table, in any order and any number of times.
 
@@ -51,7 +65,11 @@ class DailyLoad:
     earlier days are rewritten only where a successor has changed.
     """
 
+    any_distance = False
+
     def __init__(self, config: LoadConfig, zones: DataFrame):
+        if not self.any_distance and (config.lookback_days is None or config.delay is not None):
+            raise ValueError("lookback_days=None and delay need a VersionedLoad")
         self.config = config
         self.spark: SparkSession = zones.sparkSession
         check_session(self.spark)
@@ -76,7 +94,8 @@ class DailyLoad:
 
         ``days`` are those that the rows hold whole. A row of another day would replace that
         day, so the load is refused before anything is written. Without ``days`` the rows
-        are taken to be all there is of every day among them.
+        are taken to be all there is of every day among them. Records that ``read`` marked as
+        malformed (``on_error="store"``) are added to ``malformed_table`` first.
         """
         c = self.config
         if not isinstance(events.schema[c.day].dataType, DateType):
@@ -90,6 +109,12 @@ class DailyLoad:
                 roll_2400=c.roll_2400, rows_per_task=c.rows_per_task,
             )
             batch = stages.enter_context(staged(timed))
+            if MALFORMED in batch.columns:
+                batch, bad = split_malformed(batch, c.day)
+                if not bad.isEmpty():
+                    bad.withColumn("load", F.lit(uuid.uuid4().hex)).write.format("parquet").mode("append").saveAsTable(
+                        self.malformed_table
+                    )
             sizes = self._rows_per_day(batch)
             if None in sizes:
                 raise ValueError(f"rows without {c.day} belong to no day of the table")
@@ -107,6 +132,11 @@ class DailyLoad:
             )
         return sorted(written)
 
+    @property
+    def malformed_table(self) -> str:
+        """Log of malformed records: file, day, text, load. Of a file only its last load counts."""
+        return f"{self.config.output_table}_malformed"
+
     def _rows_per_day(self, rows: DataFrame) -> dict[date, int]:
         counted = rows.groupBy(column(self.config.day).alias("d")).agg(F.count("*").alias("n"))
         return {r.d: r.n for r in counted.collect()}
@@ -145,7 +175,7 @@ class DailyLoad:
                 *self._sequence_columns()
             ),
             [c.key, c.day],
-            [c.time, *c.tie_break],
+            list(dict.fromkeys([c.time, *c.tie_break, *c.carry])),
         )
         marked = rows.withColumn(_CONTEXT, F.lit(False)).unionByName(
             align_to(firsts, schema).withColumn(_CONTEXT, F.lit(True))
@@ -199,19 +229,20 @@ class DailyLoad:
             return df.where(column(c.time).isNotNull()).select(
                 column(c.key).alias("k"),
                 column(c.day).alias("d"),
-                F.struct(*[column(n) for n in [c.time, *c.tie_break]]).alias("at"),
+                F.struct(*[column(n) for n in dict.fromkeys([c.time, *c.tie_break, *c.carry])]).alias("at"),
                 F.struct(*own).alias("own"),
                 F.struct(*after).alias("after"),
             )
 
+        ends_day = F.coalesce(F.col("after.time") > F.col("own.time"), F.lit(True))
         ends = (
             ends_of(batch, None)
             .unionByName(ends_of(stored, c.next_columns[:-1]))
             .groupBy("k", "d")
             .agg(
                 F.min_by("own", "at").alias("first"),
-                # Of events tied for the last place the one that looks furthest
-                F.max_by("after", F.struct("at", "after.time")).alias("after"),
+                # Of events tied for the last place the one that none of them follows
+                F.max_by("after", F.struct(F.col(f"own.{parts[0]}"), ends_day)).alias("after"),
             )
         )
         by_day = Window.partitionBy("k").orderBy("d")

@@ -11,7 +11,8 @@ from tideline.operators.flatten import flatten
 from tideline.operators.projection import ColumnSpec, project_typed
 
 
-_BAD = "_malformed"
+#: Columns that ``on_error="store"`` adds: the text of a record that could not be read whole, and its file.
+MALFORMED, SOURCE_FILE = "_malformed", "_source_file"
 
 
 def read_events_json(
@@ -35,20 +36,34 @@ def read_events_json(
     With ``on_error="fail"`` a record that cannot be read, or a value that does not
     fit its type, stops the job. With ``"null"`` what cannot be read is null, and an
     inner flatten leaves out a record without array elements; ``malformed_lines``
-    tells which lines these are. ``source`` names a column for the path of each row's file.
+    tells which lines these are. With ``"store"`` each record that cannot be read whole comes out of
+    the same read as one row, with its text in ``_malformed`` and its file in ``_source_file``; of a
+    file that is one JSON value (``multiline``) that is the whole file. ``source`` names a column for
+    the path of each row's file.
     """
     mode = "FAILFAST" if on_error == "fail" else "PERMISSIVE"
     reader = spark.read.option("multiLine", multiline).option("mode", mode)
+    specs, whole = list(specs), None
+    if on_error == "store":
+        whole, source, on_error = MALFORMED, SOURCE_FILE, "null"
+        reader = reader.option("columnNameOfCorruptRecord", whole)
+        kind = _as_struct(schema) if schema is not None else reader.json(path).schema
+        schema = StructType([f for f in kind.fields if f.name != whole] + [StructField(whole, StringType())])
+        specs.append(ColumnSpec(whole, "string"))
     if schema is not None:
         reader = reader.schema(schema)
-    records, specs = reader.json(path), list(specs)
+    records = reader.json(path)
     if source is not None:
         records = records.withColumn(source, F.col("_metadata.file_path"))
         specs.append(ColumnSpec(source, "string"))
-    flat = flatten(records, outer=outer, maps=maps, on_duplicate=on_duplicate)
+    flat = flatten(records, outer=outer, maps=maps, on_duplicate=on_duplicate, whole=whole)
     return project_typed(flat, specs, on_error)
 
 
+def _as_struct(schema: StructType | str) -> StructType:
+    return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+
+
 def malformed_lines(
     spark: SparkSession, path: str | list[str], schema: StructType | str
 ) -> DataFrame:
@@ -57,13 +72,12 @@ def malformed_lines(
     One row per line, with its text in ``line`` and whether it is an object at all in
     ``readable``; of a readable one only single values are lost. Blank lines are no records.
     """
-    kind = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
-    marked = StructType([*kind.fields, StructField(_BAD, StringType())])
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
+    marked = StructType([*_as_struct(schema).fields, StructField(MALFORMED, StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": MALFORMED}
     parsed = spark.read.text(path).select(
         F.col("value").alias("line"), F.from_json("value", marked, options).alias("record")
     )
-    return parsed.where((F.trim("line") != "") & F.col("record").getField(_BAD).isNotNull()).select(
+    return parsed.where((F.trim("line") != "") & F.col("record").getField(MALFORMED).isNotNull()).select(
         "line", F.json_object_keys("line").isNotNull().alias("readable")
     )
 

@@ -10,12 +10,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tideline.operators.naming import column
 from tideline.plans.daily_load import DailyLoad
+from tideline.sources.json_events import MALFORMED, SOURCE_FILE
 
 UNITS = ("file", "folder")
 # Fixed schema of the binaryFile source; only the path is asked for.
 _FILES = "path string, modificationTime timestamp, length long, content binary"
 _SEEN = "file string, day date, batch bigint"
-_SOURCE = "_source_file"
 
 
 def land_stream(
@@ -78,8 +78,8 @@ def _plain(path: str) -> str:
 def _load_days_of(load: DailyLoad, files: list[str], seen: str, number: int) -> None:
     """Load the days found in ``files`` from all files that hold rows of them."""
     spark, day = load.spark, column(load.config.day)
-    new = load.read([_plain(f) for f in files], _SOURCE)
-    found = new.select(F.col(_SOURCE).alias("file"), day.alias("day")).distinct()
+    new = load.read([_plain(f) for f in files], SOURCE_FILE)
+    found = new.select(F.col(SOURCE_FILE).alias("file"), day.alias("day")).distinct()
     # Written again if the batch is replayed, and before its rows, which later batches rely on.
     found.write.mode("overwrite").parquet(f"{seen}/batch={number}")
     log = spark.read.schema(_SEEN).parquet(seen)
@@ -89,4 +89,9 @@ def _load_days_of(load: DailyLoad, files: list[str], seen: str, number: int) ->
     again = [unquote(r.file) for r in earlier.select("file").distinct().collect()]
     rows = load.read([_plain(f) for f in sorted({*files, *again})])
     # Rows without a day are left in, for the load to refuse.
-    load.load(rows.where(day.isin([d for d in days if d]) | day.isNull()))
+    taken = day.isin([d for d in days if d]) | day.isNull()
+    if MALFORMED in rows.columns:
+        # Those of earlier files were stored when these were new.
+        fresh = column(SOURCE_FILE).isin([r.file for r in log.where(F.col("batch") == number).select("file").distinct().collect()])
+        taken = taken & (column(MALFORMED).isNull() | fresh)
+    load.load(rows.where(taken))
