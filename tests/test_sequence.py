@@ -69,14 +69,33 @@ def test_heap_of_copies_is_cut(spark):
     assert counts == {("w", "x"): 1, ("x", "x"): 499, ("x", "y"): 1, ("y", None): 1}
 
 
+@pytest.mark.parametrize("skip", [False, True])
+def test_heaps_beside_other_times(spark, skip):
+    """Heaps of one time, with and without copies, a heap of null times, and times in between."""
+    rows = [(i, "k", T(2023, 1, 1) + dt.timedelta(seconds=i)) for i in range(300)]
+    rows += [(1000 + i, "k", T(2023, 1, 1, 0, 0, 7)) for i in range(400)]
+    rows += [(5000, "k", T(2023, 1, 1, 0, 4, 59))] * 200 + [(3000 + i, "k", None) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, k string, t timestamp").repartition(5)
+    out = next_event(df, "k", "t", {"id": "id_next"}, "gap", ["id"], skip, rows_per_task=50)
+    got = sorted(((r.id, r.t_next, r.id_next) for r in out.collect()), key=str)
+    mine = sorted(rows, key=lambda r: (r[2] is not None, r[2] or T.min, r[0]))
+    if skip:
+        apart = [(r[0], None, None) for r in mine if r[2] is None]
+        mine = [r for r in mine if r[2] is not None]
+    else:
+        apart = []
+    wanted = [(r[0], n[2], n[0]) for r, n in zip(mine, [*mine[1:], (None, None, None)])]
+    assert got == sorted(apart + wanted, key=str)
+
+
 def test_busy_key_is_spread(spark):
-    df = spark.range(2000).select(F.lit("k").alias("k"), F.timestamp_seconds("id").alias("t"), F.col("id").alias("c"))
+    df = spark.range(2000).select((F.col("id") % 1).alias("k"), F.timestamp_seconds("id").alias("t"), F.col("id").alias("c"))
     out = next_event(df, "k", "t", {"c": "c_next"}, "gap", rows_per_task=100)
     assert out.where("c_next = c + 1 and gap = 1").count() == 1999
-    plan = out._jdf.queryExecution().toString()
-    assert "_segment" in plan and "BroadcastHashJoin" in plan
-    # 2 * 2000 / 100 ranges, each a task of its own
-    assert "hashpartitioning(k" in plan and re.search(r"hashpartitioning\(k#\d+, _segment#\d+, 40\)", plan)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # 2 * 2000 / 100 ranges, each a task of its own; rows move once, the other two shuffles are for heads
+    assert re.search(r"hashpartitioning\(k#\d+L?, _segment#\d+, 40\)", plan)
+    assert plan.count("Exchange hashpartitioning") == 3 and "rangepartitioning" not in plan
 
 
 def test_tasks_follow_the_number_of_rows(spark):
