@@ -78,3 +78,20 @@ def test_days_spread_over_files(spark, tmp_path, most):
 def test_unit_is_checked(spark, tmp_path):
     with pytest.raises(ValueError, match="unit"):
         land_stream(spark, str(tmp_path), None, str(tmp_path), unit="day")
+
+
+def test_malformed_lines_are_stored_once(spark, tmp_path):
+    load = loader(spark, "landed_broken", on_error="store")
+    days = {n: rows_of(n, range(30 * n, 30 * n + 3)) for n in range(2)}
+    try:
+        put(tmp_path / "in", "a.json", days[0])
+        with (tmp_path / "in" / "a.json").open("a") as file:
+            file.write("\n{broken")
+        run(spark, str(tmp_path / "in"), load, str(tmp_path / "cp"), max_files=1)
+        put(tmp_path / "in", "b.json", rows_of(0, range(10, 12)) + days[1])
+        run(spark, str(tmp_path / "in"), load, str(tmp_path / "cp"), max_files=1)
+        assert stored(spark, "landed_broken") == recompute(sum(days.values(), rows_of(0, range(10, 12))), 1)
+        assert [r.text for r in spark.table(load.malformed_table).collect()] == ["{broken"]
+    finally:
+        spark.sql("DROP TABLE IF EXISTS landed_broken")
+        spark.sql("DROP TABLE IF EXISTS landed_broken_malformed")

@@ -1,6 +1,7 @@
 import datetime as dt
 import json
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -275,3 +276,52 @@ def test_align_union(spark):
     out = align_union(left, right)
     assert out.columns == ["b", "a"]
     assert sorted(map(str, out.collect())) == sorted(["Row(b=None, a=1)", "Row(b='x', a=1)", "Row(b='x', a=1)"])
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_ties_without_a_tie_break(spark, table, seed):
+    """Many rows of one minute and nothing to tell them apart: the table follows the stated order, however often
+    and in whatever order of rows days are loaded."""
+    rnd = random.Random(seed)
+    load = loader(spark, table)
+    load.config = replace(load.config, tie_break=())
+    truth = {}
+    for step in range(6):
+        n = rnd.randrange(3)
+        rows = truth.get(n, []) + [(100 * step + i, "A", day(n), rnd.choice([900, 1000]), rnd.choice("pqr")) for i in range(2)]
+        rnd.shuffle(rows)
+        truth[n] = rows
+        load.load(spark.createDataFrame(rows, SCHEMA).repartition(rnd.randrange(1, 4)))
+        timed = sorted(((instant(r), r[4], r[0], r[2]) for v in truth.values() for r in v))
+        wanted = {
+            a[2]: (b[0], b[1], int((b[0] - a[0]).total_seconds())) if (b[3] - a[3]).days <= 1 else (None, None, None)
+            for a, b in zip(timed, timed[1:])
+        } | {timed[-1][2]: (None, None, None)}
+        assert stored(spark, table) == wanted
+
+
+def test_reload_in_another_order_repairs_the_day_before(spark, table):
+    first, second = [(1, "A", day(0), 900, "p")], [(2, "A", day(1), 900, "B"), (3, "A", day(1), 900, "A")]
+    for rows in (second, second[::-1]):
+        load = loader(spark, table)
+        load.config = replace(load.config, tie_break=())
+        load.load(spark.createDataFrame(first, SCHEMA))
+        load.load(spark.createDataFrame(second[:1], SCHEMA))
+        load.load(spark.createDataFrame(rows, SCHEMA))
+        assert stored(spark, table)[1][1] == "A"
+        spark.sql(f"DROP TABLE {table}")
+
+
+def test_malformed_records_go_to_a_table(spark, table, tmp_path):
+    path = tmp_path / "2023-01-01.json"
+    line = '{"place":{"Origin":"A"},"FlightDate":"2023-01-01","legs":[{"Id":%d,"DepTime":100,"Reporting_Airline":"p"}]}'
+    path.write_text("\n".join([line % 1, (line % 2)[:-9], line % 3]))
+    nested = "place struct<Origin:string>, FlightDate string, legs array<struct<Id:int,DepTime:int,Reporting_Airline:string>>"
+    load = loader(spark, table, on_error="store", json_schema=nested)
+    try:
+        assert load.run(str(path)) == [day(0)]
+        assert sorted(r.Id for r in spark.table(table).collect()) == [1, 3]
+        lost = spark.table(load.malformed_table).collect()
+        assert [(r.file.split("/")[-1], r.day, r.text) for r in lost] == [(path.name, day(0), (line % 2)[:-9])]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {load.malformed_table}")

@@ -3,7 +3,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from tideline import attach_zone, local_clock, local_to_utc, read_zones_csv, to_utc, zone_lookup
+from tideline import attach_zone, local_clock, local_time_fit, local_to_utc, read_zones_csv, to_utc, zone_lookup
 
 DAY = "date'2023-12-25'"
 
@@ -157,3 +157,35 @@ def test_long_clocks_are_cut_on_demand(spark):
     df = spark.createDataFrame([(12345,), (99999,), (734,)], "t int")
     cut = local_clock(F.lit("2023-12-25").cast("date"), F.col("t"), cut_long=True).cast("string")
     assert [r[0] for r in df.select(cut).collect()] == ["2023-12-25 12:34:00", None, "2023-12-25 07:34:00"]
+
+
+@pytest.mark.parametrize("local, fit, earlier, later", [
+    ("2023-11-05 01:30:00", "doubled", "2023-11-05 05:30:00", "2023-11-05 06:30:00"),
+    ("2023-11-05 00:59:59", "unique", "2023-11-05 04:59:59", "2023-11-05 04:59:59"),
+    ("2023-11-05 02:00:00", "unique", "2023-11-05 07:00:00", "2023-11-05 07:00:00"),
+    ("2023-03-12 02:30:00", "skipped", "2023-03-12 07:30:00", "2023-03-12 07:30:00"),
+    ("2023-03-12 01:59:00", "unique", "2023-03-12 06:59:00", "2023-03-12 06:59:00"),
+    ("2023-03-12 03:00:00", "unique", "2023-03-12 07:00:00", "2023-03-12 07:00:00"),
+    ("2023-03-13 02:30:00", "unique", "2023-03-13 06:30:00", "2023-03-13 06:30:00"),
+    ("2023-11-06 01:30:00", "unique", "2023-11-06 06:30:00", "2023-11-06 06:30:00"),
+    ("2023-11-04 01:30:00", "unique", "2023-11-04 05:30:00", "2023-11-04 05:30:00"),
+])
+def test_local_times_that_occur_twice_or_never(spark, local, fit, earlier, later):
+    zone, t = F.lit("America/New_York"), F.lit(local).cast("timestamp")
+    kinds = [("earlier", "forward"), ("later", "forward"), ("null", "null")]
+    row = spark.range(1).select(
+        local_time_fit(t, zone), *[to_utc(t, zone, d, s).cast("string") for d, s in kinds]
+    ).first()
+    assert tuple(row) == (fit, earlier, later, earlier if fit == "unique" else None)
+
+
+def test_policies_reach_the_enrichment(spark):
+    df = spark.createDataFrame(
+        [("JFK", dt.date(2023, 11, 5), 130), ("JFK", dt.date(2023, 3, 12), 230), ("X", dt.date(2023, 3, 12), 230)],
+        "Origin string, FlightDate date, DepTime int")
+    out = local_to_utc(df, zones(spark), doubled="later", skipped="null", mark="fit")
+    assert out.columns[-2:] == ["fit", "FlightTime"]
+    got = [(r.fit, str(r.FlightTime)) for r in out.collect()]
+    assert got == [("doubled", "2023-11-05 06:30:00"), ("skipped", "None"), (None, "None")]
+    with pytest.raises(ValueError, match="doubled"):
+        local_to_utc(df, zones(spark), doubled="both")

@@ -1,6 +1,6 @@
 """Daily event ingestion on Spark."""
 
-from tideline.functions import gap_seconds, local_clock, rolled_day, to_utc
+from tideline.functions import gap_seconds, local_clock, local_time_fit, rolled_day, to_utc
 from tideline.operators import (
     ColumnSpec,
     ZoneLookup,
@@ -46,6 +46,7 @@ __all__ = [
     "infer_event_schema",
     "land_stream",
     "local_clock",
+    "local_time_fit",
     "local_to_utc",
     "neighbouring_days",
     "malformed_lines",

@@ -40,9 +40,49 @@ def rolled_day(day: Column, hhmm: Column, delay: Column) -> Column:
     return F.date_add(day, F.coalesce(shift, F.lit(0)).cast("int"))
 
 
-def to_utc(local: Column, zone: Column) -> Column:
-    """Instant of a local timestamp in the zone named by a column."""
-    return F.to_utc_timestamp(local, zone)
+DOUBLED_MODES = ("earlier", "later", "null")
+SKIPPED_MODES = ("forward", "null")
+
+
+def to_utc(
+    local: Column, zone: Column, doubled: str = "earlier", skipped: str = "forward"
+) -> Column:
+    """Instant of a local timestamp in the zone named by a column.
+
+    Where clocks are set back a local time occurs twice (``doubled`` says which is meant), where they
+    are set forward it does not occur (``skipped``: as if they had not been, or null).
+    """
+    if doubled not in DOUBLED_MODES or skipped not in SKIPPED_MODES:
+        raise ValueError(f"doubled must be one of {DOUBLED_MODES}, skipped one of {SKIPPED_MODES}")
+    if (doubled, skipped) == ("earlier", "forward"):
+        return F.to_utc_timestamp(local, zone)
+    before, after = _candidates(local, zone)
+    fits = local_time_fit(local, zone)
+    of_doubled = {"earlier": F.least(before, after), "later": F.greatest(before, after), "null": F.lit(None)}[doubled]
+    of_skipped = F.to_utc_timestamp(local, zone) if skipped == "forward" else F.lit(None)
+    return F.when(fits == "doubled", of_doubled).when(fits == "skipped", of_skipped).otherwise(
+        F.to_utc_timestamp(local, zone)
+    )
+
+
+def _candidates(local: Column, zone: Column) -> tuple[Column, Column]:
+    """Instants by the offsets that hold a day before and a day after: alike away from a change."""
+    day = F.make_dt_interval(F.lit(1))
+    return F.to_utc_timestamp(local - day, zone) + day, F.to_utc_timestamp(local + day, zone) - day
+
+
+def local_time_fit(local: Column, zone: Column) -> Column:
+    """``unique``, ``doubled`` or ``skipped``: how often a local time occurs in its zone.
+
+    An offset fits if the instant that it gives is that local time again. Null without a zone.
+    """
+    before, after = _candidates(local, zone)
+    fits = [F.from_utc_timestamp(instant, zone) == local for instant in (before, after)]
+    return (
+        F.when(fits[0] & fits[1] & (before != after), "doubled")
+        .when(~fits[0] & ~fits[1], "skipped")
+        .when(fits[0] | fits[1], "unique")
+    )
 
 
 def gap_seconds(later: Column, earlier: Column) -> Column:

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tideline.functions.clock import local_clock, rolled_day, to_utc
+from tideline.functions.clock import local_clock, local_time_fit, rolled_day, to_utc
 from tideline.operators.naming import column, has_order
 from tideline.operators.skew import ROWS_PER_TASK, busy_keys, key_matches
 from tideline.session import check_session, shared_folder
@@ -121,17 +121,24 @@ def local_to_utc(
     delay: str | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     rows_per_task: int | None = ROWS_PER_TASK,
+    doubled: str = "earlier",
+    skipped: str = "forward",
+    mark: str | None = None,
 ) -> DataFrame:
     """Add ``out``, the UTC instant of a local date and ``hhmm`` clock, as last column.
 
     It is null where the clock is no time of day or the place has no zone.
     ``delay`` names a column with minutes behind schedule; with it a
-    departure after midnight gets the day it really left on.
+    departure after midnight gets the day it really left on. ``doubled`` and ``skipped`` say
+    what becomes of local times that occur twice or not at all (see ``to_utc``); ``mark`` names a column
+    before ``out`` that tells which they are.
     """
     check_session(df.sparkSession)
     zoned = attach_zone(df, zones, key, "_place_zone", code, zone, broadcast_rows, rows_per_task)
     date = column(day).try_cast("date")
     if delay is not None:
         date = rolled_day(date, column(clock), column(delay))
-    instant = to_utc(local_clock(date, column(clock), roll_2400), F.col("_place_zone"))
-    return zoned.select(*[column(c) for c in df.columns if c != out], instant.alias(out))
+    local, place_zone = local_clock(date, column(clock), roll_2400), F.col("_place_zone")
+    marked = [] if mark is None else [local_time_fit(local, place_zone).alias(mark)]
+    kept = [column(c) for c in df.columns if c not in (out, mark)]
+    return zoned.select(*kept, *marked, to_utc(local, place_zone, doubled, skipped).alias(out))

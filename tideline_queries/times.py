@@ -85,6 +85,21 @@ def utc_delayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def utc_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days spread over a year and clocks over its nights, so that some clocks occur twice or never;
+    of those that occur twice the later is taken."""
+    rows = departures(spark, sf_dir).select(
+        "event_id", "place", F.date_add(F.lit("2023-01-01").cast("date"), (F.col("event_id") % 365).cast("int")).alias("day"),
+        (F.col("hhmm") % 400).alias("hhmm"),
+    )
+    return shown(
+        local_to_utc(
+            rows, zones(spark, sf_dir), "place", "day", "hhmm", "instant",
+            code="code", zone="zone", doubled="later", mark="fit",
+        )
+    )
+
+
 _LOOKUP_SQL = f"""
 WITH {DEPARTURES_SQL},{ZONES_SQL}
 SELECT event_id, place, CAST(day AS VARCHAR) AS day, hhmm, kind, value, zone
@@ -98,6 +113,7 @@ QUERIES = {
     "tz_lookup_join_large": lookup_join_large,
     "local_to_utc": utc,
     "local_to_utc_delayed": utc_delayed,
+    "local_to_utc_marked": utc_marked,
 }
 
 SQL = {
@@ -141,4 +157,24 @@ moved AS (
 SELECT event_id, place, CAST(day AS VARCHAR) AS day, hhmm, kind, value, late,
        {stamp_sql("timezone('UTC', timezone(zone, local))")} AS instant
 FROM moved""",
+    "local_to_utc_marked": f"""
+WITH {DEPARTURES_SQL},{ZONES_SQL},
+spread AS (
+  SELECT event_id, place, zone, CAST(DATE '2023-01-01' + CAST(event_id % 365 AS INTEGER) AS DATE) AS day,
+         CAST(hhmm % 400 AS INTEGER) AS hhmm
+  FROM departures LEFT JOIN zones ON place = code),
+clocks AS (
+  SELECT *, CASE WHEN zone IS NOT NULL AND hhmm % 100 < 60
+                 THEN CAST(day AS TIMESTAMP) + to_hours(hhmm // 100) + to_minutes(hhmm % 100) END AS local FROM spread),
+near AS (
+  SELECT *, timezone('UTC', timezone(zone, local - INTERVAL 24 HOURS)) + INTERVAL 24 HOURS AS a,
+         timezone('UTC', timezone(zone, local + INTERVAL 24 HOURS)) - INTERVAL 24 HOURS AS b FROM clocks),
+fitted AS (
+  SELECT *, timezone(zone, timezone('UTC', a)) = local AS fits_a, timezone(zone, timezone('UTC', b)) = local AS fits_b
+  FROM near)
+SELECT event_id, place, CAST(day AS VARCHAR) AS day, hhmm,
+       CASE WHEN fits_a AND fits_b AND a <> b THEN 'doubled' WHEN NOT fits_a AND NOT fits_b THEN 'skipped'
+            WHEN fits_a OR fits_b THEN 'unique' END AS fit,
+       {stamp_sql("CASE WHEN fits_a AND fits_b THEN greatest(a, b) WHEN fits_b THEN b ELSE a END")} AS instant
+FROM fitted""",
 }
