@@ -1,8 +1,8 @@
 """Timings at ``$BENCH_SF_DIR``; prints one JSON line.
 
 Queries are timed with this package's defaults and with the same operators in a
-plain setting: inferred schema, no broadcast, no cutting of busy keys. Loads have
-no plain setting. The headline value is the sum over the default settings.
+plain setting: inferred schema, no broadcast, no cutting of busy keys. The plain setting of loads into
+versioned days is ``DailyLoad``, day by day in turns. The headline value is the sum over the default settings.
 """
 
 from __future__ import annotations
@@ -14,11 +14,12 @@ import sys
 import tempfile
 import time
 import uuid
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tideline import (
-    DailyLoad, build_session, local_to_utc, next_event, read_events_json, read_zones_csv,
+    DailyLoad, VersionedLoad, build_session, local_to_utc, next_event, read_events_json, read_zones_csv,
 )
 from tideline_queries import QUERIES
 from tideline_queries.inputs import departures, events, zones
@@ -48,10 +49,13 @@ def medians(*actions) -> list[float]:
     return [round(statistics.median(times), 3) for times in zip(*turns)]
 
 
-def our_daily(spark: SparkSession, folder: str, days: list, lookup: DataFrame) -> None:
-    load = DailyLoad(config(f"ours_{uuid.uuid4().hex}"), lookup)
-    for d in days:
-        load.run(f"{folder}/arrival={d}")
+def daily(folder: str, days: list, lookup: DataFrame, scratch: str) -> list[float]:
+    """Seconds of loading all days one by one, into a table and into versioned days, in turns."""
+    name = uuid.uuid4().hex
+    settings = config(f"ours_{name}")
+    loads = [DailyLoad(settings, lookup), VersionedLoad(replace(settings, output_path=f"{scratch}/{name}"), lookup)]
+    turns = [[seconds(lambda: load.run(f"{folder}/arrival={d}")) for load in loads] for d in days]
+    return [round(sum(times), 3) for times in zip(*turns)]
 
 
 def main() -> None:
@@ -117,8 +121,9 @@ def main() -> None:
     for name in ours:
         queries[name], baseline[name] = medians(ours[name], plain[name])
     # A load changes its table, so all days are loaded once, into a new one.
-    our_daily(spark, folder, days[:2], lookup)
-    queries["daily_load"] = round(seconds(lambda: our_daily(spark, folder, days, lookup)), 3)
+    daily(folder, days[:2], lookup, scratch)
+    queries["daily_load"], queries["daily_load_versioned"] = daily(folder, days, lookup, scratch)
+    baseline["daily_load_versioned"] = queries["daily_load"]
     print(
         json.dumps(
             {

@@ -84,12 +84,13 @@ class DayStore:
     def _files(self):
         return self._path().getFileSystem(self.spark._jsc.hadoopConfiguration())
 
+    def names(self, folder: str) -> list[str]:
+        """What lies in a folder, given relative to the root; nothing if there is no such folder."""
+        files, path = self._files(), self._path(folder)
+        return [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+
     def _numbers(self) -> list[int]:
-        files, folder = self._files(), self._path(_COMMITS)
-        if not files.exists(folder):
-            return []
-        names = [f.getPath().getName() for f in files.listStatus(folder)]
-        return sorted(int(n[:_DIGITS]) for n in names if n.endswith(".json"))
+        return sorted(int(n[:_DIGITS]) for n in self.names(_COMMITS) if n.endswith(".json"))
 
     def state(self) -> State:
         """The state after the last commit."""

@@ -9,7 +9,7 @@ from dataclasses import replace
 from datetime import date
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Row, Window, functions as F
 from pyspark.sql.types import DateType, StructType
 
 from tideline.functions.clock import gap_seconds, local_clock, rolled_day
@@ -85,17 +85,21 @@ class VersionedLoad(DailyLoad):
                 files = batch.select(column(SOURCE_FILE).alias("file"))
                 batch, bad = split_malformed(batch, self._source)
                 bad = self._store_malformed(bad, files)
-            found = batch.groupBy(column(self._source).alias("s"), column(c.day).alias("d")).count().collect()
+            found = self._measure(batch)
             if any(r.s is None for r in found):
                 raise ValueError(f"rows without {c.day} belong to no day of the table")
             sources = {r.s for r in found}
             stray = set() if days is None else sources - set(days)
             if stray:
                 raise ValueError(f"rows of other days: {', '.join(map(str, sorted(stray)))}")
-            sizes: dict[date, int] = {}
-            for r in found:
-                sizes[r.d] = sizes.get(r.d, 0) + r["count"]
-            return self._replace(batch, sizes, sources, bad)
+            return self._replace(batch, found, sources, bad)
+
+    def _measure(self, rows: DataFrame) -> list[Row]:
+        """Counts and times by day and day of the file, from narrow columns."""
+        c, time = self.config, F.unix_micros(column(self.config.time))
+        return rows.groupBy(column(c.day).alias("d"), column(self._source).alias("s")).agg(
+            F.count("*").alias("n"), F.count_if(time.isNull()).alias("untimed"), F.min(time).alias("a"), F.max(time).alias("z")
+        ).collect()
 
     def _store_malformed(self, bad: DataFrame, files: DataFrame) -> tuple[dict[date, str], dict[str, str], set[str]]:
         """Folders of malformed records by day and by file, and the files of the load once listed by file."""
@@ -114,7 +118,7 @@ class VersionedLoad(DailyLoad):
         return dated, undated, read
 
     def _replace(
-        self, batch: DataFrame, sizes: dict[date, int], sources: set[date],
+        self, batch: DataFrame, found: list[Row], sources: set[date],
         bad: tuple[dict[date, str], dict[str, str], set[str]] | None,
     ) -> list[date]:
         base = self.store.state()
@@ -122,7 +126,7 @@ class VersionedLoad(DailyLoad):
         while True:
             if written is None or self._contributions(base, sources) != given:
                 given = self._contributions(base, sources)
-                written = self._write_days(batch, sizes, sources, base)
+                written = self._write_days(batch, found, sources, base)
             schema, entries, firsts = written
             if base.schema is not None and entries:
                 schema = grown(base.schema, schema, self.config.day)
@@ -156,15 +160,14 @@ class VersionedLoad(DailyLoad):
         return {d: (e["body"], e["raw"], e["sources"]) for d, e in base.days.items() if own & set(e["sources"])}
 
     def _write_days(
-        self, batch: DataFrame, sizes: dict[date, int], sources: set[date], base: State
+        self, batch: DataFrame, found: list[Row], sources: set[date], base: State
     ) -> tuple[StructType, dict[date, dict[str, Any]], DataFrame | None]:
         """Bodies, tails without successors and firsts of all days that get or lose rows.
 
         Gives the schema, what the state is to say of each of these days, and their firsts.
         """
         c = self.config
-        rows, total = batch, sum(sizes.values())
-        affected = set(sizes) | set(self._contributions(base, sources))
+        rows, affected = batch, {r.d for r in found} | set(self._contributions(base, sources))
         if c.delay:
             # Other files gave rows to these days as well.
             kept = [d for d in affected if d in base.days and set(base.days[d]["sources"]) - {str(s) for s in sources}]
@@ -174,9 +177,10 @@ class VersionedLoad(DailyLoad):
                 schema = StructType([f for f in schema.fields if f.name not in c.next_columns])
                 others = others.where(~column(self._source).isin(sorted(sources)))
                 rows = align_to(batch, schema).unionByName(align_to(others, schema))
-                total += sum(base.days[d]["rows"] for d in kept)
+                found = self._measure(rows)
         if not affected:
             return base.schema, {}, None
+        total = sum(r.n for r in found)
         limit = c.rows_per_task if c.rows_per_task is not None and total > c.rows_per_task else None
         placed = next_event(rows, [c.key, c.day], c.time, c.carry, c.gap, c.tie_break, True, rows_per_task=limit)
         schema = grown(base.schema, placed.schema, c.day)
@@ -186,16 +190,11 @@ class VersionedLoad(DailyLoad):
             placed = placed.hint("rebalance", c.day)
         version = self.store.write(placed, "days", _PART)
 
-        # Counts and firsts come from narrow columns of what was written.
-        stored = self.spark.read.schema(StructType([*placed.schema.fields])).parquet(f"{self.store.root}/{version}")
-        time = F.unix_micros(column(c.time))
-        counted = stored.groupBy(column(c.day).alias("d"), column(_PART).alias("p"), column(self._source).alias("s")).agg(
-            F.count("*").alias("n"), F.count_if(column(c.time).isNull()).alias("untimed"), F.min(time).alias("a"), F.max(time).alias("z")
-        ).collect()
+        parts = {d: set(self.store.names(f"{version}/{c.day}={d}")) for d in affected}
         entries: dict[date, dict[str, Any]] = {}
         for d in sorted(affected):
-            mine = [r for r in counted if r.d == d]
-            folder = {r.p: f"{version}/{c.day}={d}/{_PART}={r.p}" for r in mine}
+            mine = [r for r in found if r.d == d]
+            folder = {p: f"{version}/{c.day}={d}/{_PART}={p}" for p in ("body", "raw") if f"{_PART}={p}" in parts[d]}
             entries[d] = {
                 "body": folder.get("body"), "raw": folder.get("raw"), "tails": None, "firsts": None,
                 "sources": sorted({str(r.s) for r in mine}), "rows": sum(r.n for r in mine),
@@ -205,6 +204,8 @@ class VersionedLoad(DailyLoad):
             }
         if not any(e["raw"] for e in entries.values()):
             return schema, entries, None
+        # From narrow columns of what was written.
+        stored = self.spark.read.schema(placed.schema).parquet(f"{self.store.root}/{version}")
         order = list(dict.fromkeys([c.time, *c.tie_break, *c.carry]))
         least = F.min(F.struct(*[column(n) for n in order]))
         seen = stored.where(column(c.time).isNotNull()).groupBy(column(c.key), column(c.day)).agg(least.alias("_row"))
@@ -230,6 +231,8 @@ class VersionedLoad(DailyLoad):
         Gives the version they are stored as, how many have none by day, and the other days.
         """
         c = self.config
+        if schema is None:
+            return "", {}, []  # nothing was loaded yet, and nothing is now
         names = list(self._follower.values())
         narrow = StructType([f for f in schema.fields if f.name in (c.key, c.day, *names)])
         reach = c.lookback_days if c.lookback_days is not None else math.inf
@@ -237,15 +240,16 @@ class VersionedLoad(DailyLoad):
         # Days whose tails can have, or have had, a successor on a day that was written.
         earlier = [d for d in others if any(0 < (e - d).days <= reach for e in entries)]
         near = self.store.read(base.folders(["firsts"], others), narrow) if base.schema else None
-        lost = self.store.read(base.folders(["firsts"], list(entries)), narrow) if base.schema else None
-        own = [f.select(*[column(n) for n in narrow.fieldNames()]) for f in (firsts, lost) if f is not None]
-        if not own:
-            return "", {}, []
-        timeline = None if firsts is None else own[0]
+        timeline = None if firsts is None else firsts.select(*[column(n) for n in narrow.fieldNames()])
         if near is not None:
-            # Only keys of the days that were written, now or before, can get another successor.
-            keys = own[0].select(column(c.key)) if len(own) == 1 else own[0].select(column(c.key)).union(own[1].select(column(c.key)))
-            near = near.join(keys.distinct(), c.key, "left_semi").select(*narrow.fieldNames())
+            if c.lookback_days is None:
+                # Only keys of the days that were written, now or before, can get another successor.
+                lost = self.store.read(base.folders(["firsts"], list(entries)), narrow)
+                keys = [f.select(column(c.key).alias("_k")) for f in (timeline, lost) if f is not None]
+                if not keys:
+                    return "", {}, []
+                keys = keys[0] if len(keys) == 1 else keys[0].union(keys[1])
+                near = near.join(keys.distinct(), column(c.key) == F.col("_k"), "left_semi")
             timeline = near if timeline is None else timeline.unionByName(near)
         if timeline is None:
             return "", {}, []
@@ -262,22 +266,29 @@ class VersionedLoad(DailyLoad):
         if raw:
             pieces.append(self.store.read(raw, schema).join(linked, same_row, "left"))
         stored = self.store.read(base.folders(["tails"], earlier), narrow) if near is not None else None
-        if stored is not None:
+        if stored is not None and len(earlier) == 1 and base.days.keys().isdisjoint(entries):
+            # Next to a day that is new, the day before is as good as sure to change.
+            changed = earlier
+        elif stored is not None:
             stored = stored.join(linked, same_row)
             differs = F.lit(False)
             for n in names:
                 differs = differs | ~column(n).eqNullSafe(F.col("_after").getField(n))
             changed = sorted(r[0] for r in stored.where(differs).select(column(c.day)).distinct().collect())
+        if changed:
+            changed = [d for d in changed if base.days[d]["tails"]]
             if changed:
                 pieces.append(self.store.read(base.folders(["tails"], changed), schema).join(linked, same_row, "left"))
         if not pieces:
             return "", {}, []
         rows = pieces[0] if len(pieces) == 1 else pieces[0].unionByName(pieces[1])
-        version = self.store.write(rows.select(*self._set(schema)), "tails")
-        is_open = F.count_if(column(c.next_columns[0]).isNull()).alias("n")
+        # Counted while they are written; a day of many goes by its place in the list.
         days = [*(d for d, e in entries.items() if e["raw"]), *changed]
-        written = self.store.read([f"{version}/{c.day}={d}" for d in days], schema)
-        return version, {r[0]: r.n for r in written.groupBy(column(c.day)).agg(is_open).collect()}, changed
+        seen, open_ = Observation(), column(c.next_columns[0]).isNull()
+        counts = [F.count_if(open_ & (column(c.day) == F.lit(d))).alias(f"d{i}") for i, d in enumerate(days)]
+        version = self.store.write(rows.select(*self._set(schema)).observe(seen, *counts), "tails")
+        found = seen.get
+        return version, {d: found[f"d{i}"] for i, d in enumerate(days)}, changed
 
     def _set(self, schema: StructType) -> list[Column]:
         """The columns of ``schema``, successors taken from ``_after`` where the key is known."""
