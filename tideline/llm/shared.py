@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tideline.session import new_folder, shared_folder
 
-#: A group counts as hot from this share of all rows on; so at most 1 / HOT_SHARE groups are hot.
-HOT_SHARE = 0.001
+#: A group counts as hot from this share of all rows on, or from so many rows, whichever is less. So a
+#: task gets at most HOT_ROWS rows of a group, and at most max(1 / HOT_SHARE, rows / HOT_ROWS) groups are hot.
+HOT_SHARE, HOT_ROWS = 0.001, 1_000_000
 
 #: Texts in an Arrow batch.
 BATCH_ROWS = 200
@@ -68,15 +69,15 @@ def attach(
 ) -> DataFrame:
     """Left-join ``groups`` (one stored row per key with its ``size`` in ``rows``) to ``rows``.
 
-    Hot groups are broadcast: each holds at least ``HOT_SHARE`` of all rows, so
-    there are at most ``1 / HOT_SHARE``. The rest is a shuffled join without hot
+    Hot groups are broadcast: each holds at least ``HOT_SHARE`` of all rows or ``HOT_ROWS``, so
+    there are few (one row for a million at most). The rest is a shuffled join without hot
     keys; rows of hot groups are dealt by ``spread`` and meet nothing there.
     """
     values = [c for c in groups.columns if c != key]
     total = groups.agg(F.sum(size)).first()[0] or 0
     packed, found, salt = (fresh(rows, n) for n in ("_hot", "_cold", "_salt"))
     whole = groups.select(key, F.struct(*values).alias(packed), F.col(size).alias(salt))
-    is_hot = F.col(salt) >= max(2.0, total * HOT_SHARE)
+    is_hot = F.col(salt) >= max(2.0, min(total * HOT_SHARE, HOT_ROWS))
     hot = F.broadcast(whole.where(is_hot).drop(salt))
     cold = whole.where(~is_hot).select(
         key, F.lit(0).alias(salt), F.col(packed).alias(found)

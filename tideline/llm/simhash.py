@@ -16,7 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tideline.llm.shared import attach, checkpointed, fresh, one_of_repeated, small_batches, stored
+from tideline.llm.shared import attach, checkpointed, fresh, repeated_ids, small_batches, stored
 
 WORDS, LINK, SEED = 4, 4, 42
 #: A signature that more fingerprints may share gets a second signature from the other bits.
@@ -302,17 +302,28 @@ def drop_near_duplicates(
     prints = checkpointed(
         docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text)).alias("fp"))
     )
+    groups = fingerprint_groups(prints, bucket)
+    stays = F.col("doc_id").eqNullSafe(F.col("component_id")) & (F.col("fp") == F.col("best_fp"))
+    lost = attach(prints, groups, "fp", "n", ["doc_id"]).where(~stays).select(F.col("doc_id").alias("_lost"))
+    again = repeated_ids(docs, doc_id)
+    if again is None:
+        # The id tells the row, so texts are hashed once and only ids decide.
+        return docs.join(lost, F.col(doc_id).eqNullSafe(F.col("_lost")), "left_anti")
+    shared = F.col(doc_id).eqNullSafe(F.col("_id"))
+    single = docs.join(again, shared, "left_anti")
+    single = single.join(lost, F.col(doc_id).eqNullSafe(F.col("_lost")), "left_anti")
+    # Rows that share an id are told apart by their fingerprints.
     fp, size = fresh(docs, "_fp"), fresh(docs, "_n")
     best, best_fp = fresh(docs, "_best"), fresh(docs, "_best_fp")
-    groups = fingerprint_groups(prints, bucket).select(
+    named = groups.select(
         F.col("fp").alias(fp), F.col("component_id").alias(best),
         F.col("best_fp").alias(best_fp), F.col("n").alias(size),
     )
-    marked = docs.withColumn(fp, fingerprint(F.col(text)))
-    kept = attach(marked, groups, fp, size, [doc_id]).where(
+    marked = docs.join(again, shared, "left_semi").withColumn(fp, fingerprint(F.col(text)))
+    kept = attach(marked, named, fp, size, [doc_id]).where(
         F.col(doc_id).eqNullSafe(F.col(best)) & (F.col(fp) == F.col(best_fp))
     )
-    return one_of_repeated(kept, docs, doc_id, [fp]).select(*docs.columns)
+    return single.unionByName(kept.dropDuplicates([doc_id, fp]).select(*docs.columns))
 
 
 def near_duplicate_report(docs: DataFrame) -> DataFrame:
