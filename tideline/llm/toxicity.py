@@ -23,8 +23,6 @@ from tideline.llm.shared import fold_number, small_batches
 
 #: About so many labelled documents of each class are learned from, taken by a hash of the id.
 SAMPLE = 4_000
-#: Most frequent words that a model keeps; bounds its size.
-MAX_WORDS = 150_000
 DISCOUNT = 0.9
 THRESHOLD = 0.7
 _WORD = re.compile(r"\w+")
@@ -70,10 +68,12 @@ class ClassModels:
         return float(1 / (1 + np.exp(-np.clip(value, -40, 40))))
 
 
-def fit_counts(sample: DataFrame, max_words: int = MAX_WORDS) -> ClassModels:
-    """Both models from rows (text, toxic); every text counts a word once. Spark sums all counts,
-    of which those of the most
-    frequent words are kept; a word in one text tells nothing about others."""
+def fit_counts(sample: DataFrame) -> ClassModels:
+    """Both models from rows (text, toxic); every text counts a word once. Spark sums all counts.
+
+    All words are kept that two texts share; the sample of rows bounds how many there are. A word of one
+    text alone tells nothing: left out of the counts, as the curve sees it, it occurs in neither class.
+    """
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -86,7 +86,7 @@ def fit_counts(sample: DataFrame, max_words: int = MAX_WORDS) -> ClassModels:
         .groupBy("word")
         .agg(F.sum(1 - F.col("toxic")).alias("o"), F.sum("toxic").alias("t"))
     )
-    kept = by_word.where("t + o > 1").orderBy((F.col("t") + F.col("o")).desc(), "word").limit(max_words).toPandas()
+    kept = by_word.where("t + o > 1").orderBy("word").toPandas()
     counts = kept[["o", "t"]].to_numpy(dtype=np.float64)
     total = max(1.0, counts.sum())
     return ClassModels(
@@ -153,7 +153,7 @@ def scored(docs: DataFrame, model: ClassModels | None, name: str = "score", text
     if model is None:
         return docs.withColumn(name, F.lit(0.0))
     small_batches(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by MAX_WORDS
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
 
     @F.pandas_udf("double")
     def score(texts: pd.Series) -> pd.Series:
