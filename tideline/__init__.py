@@ -18,6 +18,7 @@ from tideline.operators import (
 from tideline.plans import DailyLoad, DayStore, LoadConfig, VersionedLoad, overwrite_days
 from tideline.session import build_session, check_session, shared_folder
 from tideline.sources import (
+    SchemaStore,
     day_slice,
     infer_event_schema,
     malformed_lines,
@@ -32,6 +33,7 @@ __all__ = [
     "DailyLoad",
     "DayStore",
     "LoadConfig",
+    "SchemaStore",
     "VersionedLoad",
     "ZoneLookup",
     "align_union",

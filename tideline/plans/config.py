@@ -53,6 +53,8 @@ class LoadConfig:
     maps: str = "keep"
     on_duplicate: str = "error"
     json_schema: StructType | str | None = None
+    # Folder of the schema of all files so far, for files whose fields and types change
+    schema_folder: str | None = None
     # Largest lookup to broadcast, and most rows of one key in a single task
     broadcast_rows: int = BROADCAST_ROWS
     rows_per_task: int | None = ROWS_PER_TASK

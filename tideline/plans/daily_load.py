@@ -18,6 +18,7 @@ from tideline.operators.union import align_to
 from tideline.plans.config import LoadConfig
 from tideline.plans.partitions import evolved_schema, overwrite_days
 from tideline.session import check_session, new_table
+from tideline.sources.drift import SchemaStore
 from tideline.sources.json_events import MALFORMED, SOURCE_FILE, read_events_json
 from tideline.sources.tables import day_slice, neighbouring_days
 
@@ -73,20 +74,25 @@ class DailyLoad:
         self.config = config
         self.spark: SparkSession = zones.sparkSession
         check_session(self.spark)
+        self.schemas = config.schema_folder and SchemaStore(self.spark, config.schema_folder, config.json_schema)
         self.zones = zone_lookup(
             zones, config.zone_code, config.zone_name, config.broadcast_rows, keep=True
         )
 
     def run(self, path: str | list[str], days: Iterable[date] | None = None) -> list[date]:
         """Load files; gives the days that were written. For ``days`` see ``load``."""
-        return self.load(self.read(path), days)
+        try:
+            return self.load(self.read(path), days)
+        finally:
+            if self.schemas:
+                self.schemas.release()
 
     def read(self, path: str | list[str], source: str | None = None) -> DataFrame:
         """Files as flat, typed rows; ``source`` names a column for the path of each row's file."""
         c = self.config
         return read_events_json(
             self.spark, path, c.columns, c.json_schema, c.multiline, c.on_error,
-            c.outer, c.maps, c.on_duplicate, source,
+            c.outer, c.maps, c.on_duplicate, source, self.schemas or None,
         )
 
     def load(self, events: DataFrame, days: Iterable[date] | None = None) -> list[date]:

@@ -17,17 +17,13 @@ from datetime import date
 from functools import reduce
 from typing import Any
 
-from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, StructField, StructType
 
 from tideline.operators.naming import column
+from tideline.records import Conflict, Records
 
-_COMMITS, _DIGITS = "_commits", 20
-
-
-class Conflict(Exception):
-    """Another load has committed since the state was read."""
+_COMMITS = "_commits"
 
 
 @dataclass(frozen=True)
@@ -75,6 +71,7 @@ class DayStore:
 
     def __init__(self, spark: SparkSession, root: str, day: str = "FlightDate"):
         self.spark, self.root, self.day = spark, root.rstrip("/"), day
+        self.commits = Records(spark, f"{self.root}/{_COMMITS}")
 
     # Commit records
 
@@ -89,49 +86,18 @@ class DayStore:
         files, path = self._files(), self._path(folder)
         return [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
 
-    def _numbers(self) -> list[int]:
-        return sorted(int(n[:_DIGITS]) for n in self.names(_COMMITS) if n.endswith(".json"))
-
     def state(self) -> State:
         """The state after the last commit."""
-        numbers = self._numbers()
-        if not numbers:
-            return State()
-        return self._record(numbers[-1])
+        numbers = self.commits.numbers()
+        return self._record(numbers[-1]) if numbers else State()
 
     def _record(self, number: int) -> State:
-        opened = self._files().open(self._path(_COMMITS, f"{number:0{_DIGITS}}.json"))
-        try:
-            return State.from_json(number, self.spark._jvm.org.apache.commons.io.IOUtils.toString(opened, "UTF-8"))
-        finally:
-            opened.close()
+        return State.from_json(number, self.commits.read(number))
 
     def commit(self, base: State, state: State) -> State:
         """Put ``state`` in the place of ``base``; ``Conflict`` if that is not the last one any more."""
-        jvm, files = self.spark._jvm, self._files()
-        number = base.number + 1
-        draft = self._path(_COMMITS, f"draft-{uuid.uuid4().hex}")
-        out = files.create(draft, True)
-        try:
-            out.write(bytearray(state.to_json().encode()))
-        finally:
-            out.close()
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
-            self._path().toUri(), self.spark._jsc.hadoopConfiguration()
-        )
-        no_options = self.spark.sparkContext._gateway.new_array(
-            getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0
-        )
-        try:
-            # Refuses a name that is taken.
-            context.rename(files.makeQualified(draft), files.makeQualified(
-                self._path(_COMMITS, f"{number:0{_DIGITS}}.json")), no_options)
-        except Py4JJavaError as error:
-            files.delete(draft, False)
-            if "FileAlreadyExists" in error.java_exception.getClass().getName():
-                raise Conflict(f"commit {number} of {self.root} was made by another load") from None
-            raise
-        return replace(state, number=number)
+        self.commits.put(base.number + 1, state.to_json())
+        return replace(state, number=base.number + 1)
 
     # Rows
 
@@ -223,7 +189,7 @@ class DayStore:
         Gives the number of versions deleted.
         """
         files, limit = self._files(), (time.time() - older_than) * 1000
-        numbers = self._numbers()
+        numbers = self.commits.numbers()
         used: set[str] = set()
         for number in numbers[-keep:]:
             used |= self._record(number).versions()
@@ -237,7 +203,7 @@ class DayStore:
                     files.delete(version.getPath(), True)
                     deleted += 1
         for number in numbers[:-keep]:
-            files.delete(self._path(_COMMITS, f"{number:0{_DIGITS}}.json"), False)
+            self.commits.delete(number)
         return deleted
 
 

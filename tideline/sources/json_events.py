@@ -9,6 +9,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from tideline.operators.flatten import flatten
 from tideline.operators.projection import ColumnSpec, project_typed
+from tideline.sources.drift import SchemaStore
 
 
 #: Columns that ``on_error="store"`` adds: the text of a record that could not be read whole, and its file.
@@ -26,6 +27,7 @@ def read_events_json(
     maps: str = "keep",
     on_duplicate: str = "error",
     source: str | None = None,
+    drift: SchemaStore | None = None,
 ) -> DataFrame:
     """Read JSON, flatten it and keep the declared columns.
 
@@ -40,7 +42,12 @@ def read_events_json(
     the same read as one row, with its text in ``_malformed`` and its file in ``_source_file``; of a
     file that is one JSON value (``multiline``) that is the whole file. ``source`` names a column for
     the path of each row's file.
+
+    With ``drift`` the schema is that of the store, widened where a record does not fit it (``schema`` is then what
+    the store starts with), and a declared column that no record has had yet is null.
     """
+    if drift is not None:
+        return _read_drifting(drift, path, list(specs), multiline, on_error, outer, maps, on_duplicate, source)
     mode = "FAILFAST" if on_error == "fail" else "PERMISSIVE"
     reader = spark.read.option("multiLine", multiline).option("mode", mode)
     specs, whole = list(specs), None
@@ -60,6 +67,21 @@ def read_events_json(
     return project_typed(flat, specs, on_error)
 
 
+def _read_drifting(
+    drift: SchemaStore, path: str | list[str], specs: list[ColumnSpec], multiline: bool, on_error: str,
+    outer: bool, maps: str, on_duplicate: str, source: str | None,
+) -> DataFrame:
+    whole = None
+    if on_error == "store":
+        whole, source = MALFORMED, SOURCE_FILE
+    records = drift.read(path, multiline, on_error, whole, source)
+    specs += [ColumnSpec(name, "string") for name in (whole, source) if name is not None]
+    flat = flatten(records, outer=outer, maps=maps, on_duplicate=on_duplicate, whole=whole)
+    known = {c.lower() for c in flat.columns}
+    lacking = {s.name: F.lit(None).cast("string") for s in specs if s.name.lower() not in known}
+    return project_typed(flat.withColumns(lacking), specs, "null" if on_error == "store" else on_error)
+
+
 def _as_struct(schema: StructType | str) -> StructType:
     return schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
 

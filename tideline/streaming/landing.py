@@ -95,3 +95,5 @@ def _load_days_of(load: DailyLoad, files: list[str], seen: str, number: int) ->
         fresh = column(SOURCE_FILE).isin([r.file for r in log.where(F.col("batch") == number).select("file").distinct().collect()])
         taken = taken & (column(MALFORMED).isNull() | fresh)
     load.load(rows.where(taken))
+    if load.schemas:
+        load.schemas.release()
