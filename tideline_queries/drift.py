@@ -150,14 +150,14 @@ led AS (
 capped AS (
   SELECT *, CASE WHEN d - day <= 1 THEN a END AS after, CASE WHEN d - day <= 1 THEN k END AS "then" FROM led)
 SELECT CAST(day AS VARCHAR) AS "FlightDate", kind AS "Reporting_Airline",
-       place AS "OriginAirportID", 'A' || place AS "Origin", 'City, ' || place AS "OriginCityName",
+       CAST(place AS INTEGER) AS "OriginAirportID", 'A' || place AS "Origin", 'City, ' || place AS "OriginCityName",
        CAST(place % 50 AS VARCHAR) AS "OriginState",
-       place + 1 AS "DestAirportID", 'A' || (place + 1) AS "Dest", 'City, ' || (place + 1) AS "DestCityName",
+       CAST(place + 1 AS INTEGER) AS "DestAirportID", 'A' || (place + 1) AS "Dest", 'City, ' || (place + 1) AS "DestCityName",
        CAST((place + 1) % 50 AS VARCHAR) AS "DestState",
-       event_id % 90 - 30 AS "DepDelay", CASE WHEN kind <> 'error' THEN CAST(hhmm AS DOUBLE) END AS "DepTime",
-       event_id % 70 - 20 AS "ArrDelay", CASE WHEN kind <> 'error' THEN CAST(hhmm AS DOUBLE) END AS "ArrTime",
+       CAST(event_id % 90 - 30 AS INTEGER) AS "DepDelay", CASE WHEN kind <> 'error' THEN CAST(hhmm AS DOUBLE) END AS "DepTime",
+       CAST(event_id % 70 - 20 AS INTEGER) AS "ArrDelay", CASE WHEN kind <> 'error' THEN CAST(hhmm AS DOUBLE) END AS "ArrTime",
        kind = 'error' AS "Cancelled", event_id % 7 = 0 AS "Diverted",
-       event_id AS "AirTime", event_id % 3000 AS "Distance",
+       CAST(event_id AS INTEGER) AS "AirTime", CAST(event_id % 3000 AS INTEGER) AS "Distance",
        {stamp_sql("instant")} AS "FlightTime", {stamp_sql("after")} AS "FlightTime_next",
        "then" AS "Airline_next", {gap_sql("after", "instant")} AS diff_next
 FROM capped""",
