@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml.fpm import FPGrowth, PrefixSpan
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tideline.llm.shared import attach, checkpointed
+from tideline.llm.shared import attach, checkpointed, stored
 
 #: (verdict, host, path)
 RULES = [
@@ -20,11 +20,10 @@ RULES = [
 #: Share of the labelled URLs, and number of them, in which a combination must occur.
 MIN_SUPPORT, MIN_COUNT = 0.001, 10
 MIN_CONFIDENCE = 0.6
-#: Most tokens of a rule that holds a deep segment (the third or a further one of a path).
-DEEP_RULE = 3
 #: Rules are broadcast up to this number (a few hundred bytes each), else joined by shuffle.
 BROADCAST_RULES = 10_000
 _BAD = "label=block"
+#: Tokens of deep segments, the third and further ones of a path.
 _DEEP = "p="
 
 
@@ -70,13 +69,14 @@ def listed_rule(host: Column, path: Column, rules: list[tuple[str, str, str]] =
 
 def mine_rules(
     labelled: DataFrame, min_support: float = MIN_SUPPORT, min_count: int = MIN_COUNT,
-    min_confidence: float = MIN_CONFIDENCE, deep_rule: int = DEEP_RULE,
+    min_confidence: float = MIN_CONFIDENCE,
 ) -> DataFrame:
     """Rules (tokens, confidence, support, index_token) from rows (tokens, bad) by FP-growth.
 
     Combinations of tokens whose URLs are bad with ``min_confidence``. Both supports hold. A rule
     is indexed by the rarest of its tokens. Those with deep segments, of which a URL may have any
-    number, come from ``deep_rules``; the others are of any length.
+    number, come from ``deep_rules``, which leaves out what a part of a rule does as well. Rules of
+    both kinds are of any length.
     """
     items = checkpointed(
         labelled.select(F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(_BAD)))).otherwise(F.col("tokens")).alias("items"))
@@ -92,7 +92,7 @@ def mine_rules(
     )
     with_deep = items.where(deep)
     if not with_deep.isEmpty():
-        rules = rules.unionByName(deep_rules(with_deep, n, least, min_confidence, deep_rule))
+        rules = rules.unionByName(deep_rules(with_deep, n, least, min_confidence))
     rules = checkpointed(rules)
     single = items.select(F.explode("items").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("freq"))
     rarest = (
@@ -103,29 +103,71 @@ def mine_rules(
     return checkpointed(rules.join(rarest, "tokens"))
 
 
-def deep_rules(items: DataFrame, n: int, min_support: float, min_confidence: float, longest: int) -> DataFrame:
-    """Rules (tokens, confidence, support) with a deep segment and at most ``longest`` tokens.
+def deep_rules(items: DataFrame, n: int, min_support: float, min_confidence: float) -> DataFrame:
+    """Rules (tokens, confidence, support) of any length with a deep segment.
 
     ``items`` are those of the ``n`` labelled URLs that have a deep segment; no other holds such a
-    combination, so counts are whole. A long path has too many combinations for FP-growth, which
-    knows no limit of length. PrefixSpan does, and on sorted single tokens, each at most once in a
-    URL, it counts the same combinations.
+    combination, so counts are whole. A long path has too many combinations to list them all. One in
+    as many good URLs as a part of it is in no more bad ones, and its extensions are not either beside
+    those of the part: the part matches wherever it does, with at least its confidence and support. So
+    only combinations that each of their tokens takes from good URLs are kept and extended, token by
+    token, which changes no URL's verdict, confidence or support.
     """
-    m = items.count()
-    sequences = items.select(F.transform(F.array_sort("items"), lambda t: F.array(t)).alias("sequence"))
-    # Half a count less, so that a share in floating point leaves out no combination.
-    least = max(0.5, math.ceil(min_support * n - 1e-9) - 0.5) / m
-    span = PrefixSpan(minSupport=min(1.0, least), maxPatternLength=longest + 1)
-    found = checkpointed(
-        span.findFrequentSequentialPatterns(sequences).select(F.flatten("sequence").alias("items"), "freq")
-        .where(F.exists("items", lambda t: t.startswith(_DEEP)))
+    least = max(1, math.ceil(min_support * n - 1e-9))
+    labelled = items.select(
+        F.array_remove("items", _BAD).alias("items"), F.array_contains("items", _BAD).cast("long").alias("bad")
     )
-    tokens = F.array_remove("items", _BAD)
-    bad = found.where(F.array_contains("items", _BAD)).select(tokens.alias("tokens"), F.col("freq").alias("bad"))
-    whole = found.where(~F.array_contains("items", _BAD)).select(F.col("items").alias("tokens"), "freq")
-    return (
-        bad.join(whole, "tokens").select("tokens", (F.col("bad") / F.col("freq")).alias("confidence"), (F.col("bad") / n).alias("support"))
-        .where(F.col("confidence") >= min_confidence)
+    counts = [F.sum("bad").alias("bad"), F.sum("good").alias("good")]
+    labelled = labelled.withColumn("good", 1 - F.col("bad"))
+    single = checkpointed(
+        labelled.select(F.explode("items").alias("token"), "bad", "good").groupBy("token").agg(*counts).where(F.col("bad") >= least)
+    )
+    is_deep = lambda t: t.startswith(_DEEP)
+    # Deep tokens come first, so that a combination's first ones make a combination too.
+    rank = F.struct((~is_deep(F.col("token"))).alias("shallow"), "token")
+    frequent = (
+        labelled.groupBy(F.col("items").alias("whole")).agg(*counts)
+        .select("whole", "bad", "good", F.explode("whole").alias("token")).join(single.select("token"), "token")
+        .groupBy("whole", "bad", "good").agg(F.sort_array(F.collect_list(rank))["token"].alias("items"))
+    )
+    # Stored, as the ids follow the order in which rows came.
+    sets = checkpointed(frequent.groupBy("items").agg(*counts).withColumn("id", F.monotonically_increasing_id()))
+    kept = checkpointed(single.where(is_deep(F.col("token"))).select(F.array("token").alias("tokens"), "bad", "good"))
+    found = kept
+    # Which sets hold which combinations, with the place of the last token in the set.
+    places = sets.select("id", F.posexplode("items").alias("at", "token"))
+    holds = places.where(is_deep(F.col("token"))).select("id", F.array().cast("array<string>").alias("start"), "token", "at")
+    while not kept.isEmpty():
+        tokens = F.concat("start", F.array("token"))
+        # Nothing is to be taken from combinations of bad URLs alone.
+        open_ = holds.join(kept.where("good > 0").select(F.col("tokens").alias("_k")), tokens == F.col("_k"), "left_semi")
+        more = places if found is kept else open_
+        more = more.select(*[F.col(c).alias(f"_{c}") for c in more.columns])
+        same = (F.col("id") == F.col("_id")) & (F.col("_at") > F.col("at"))
+        if found is not kept:
+            same = same & (F.col("start") == F.col("_start"))
+        wider = stored(open_.join(more, same).select(
+            "id", tokens.alias("start"), F.col("_token").alias("token"), F.col("_at").alias("at")
+        ), "holds")
+        counted = (
+            wider.join(sets.select("id", "bad", "good"), "id").groupBy(tokens.alias("tokens")).agg(*counts).where(F.col("bad") >= least)
+        )
+        without = F.explode(F.transform(
+            F.sequence(F.lit(1), F.size("tokens")),
+            lambda i: F.concat(F.slice("tokens", F.lit(1), i - 1), F.slice("tokens", i + 1, F.size("tokens"))),
+        ))
+        parts = counted.select("*", without.alias("_part")).where(is_deep(F.col("_part")[0]))
+        kept_parts = kept.select(F.col("tokens").alias("_part"), F.col("good").alias("_good"))
+        kept = stored(
+            parts.join(kept_parts, "_part", "left").groupBy("tokens", "bad", "good")
+            .agg(F.min(F.coalesce("_good", F.lit(-1))).alias("_least")).where(F.col("good") < F.col("_least")).drop("_least"),
+            "kept",
+        )
+        found = found.unionByName(kept)
+        holds = wider.join(kept.select(F.col("tokens").alias("_k")), tokens == F.col("_k"), "left_semi")
+    confidence = F.col("bad") / (F.col("bad") + F.col("good"))
+    return found.where(confidence >= min_confidence).select(
+        F.array_sort("tokens").alias("tokens"), confidence.alias("confidence"), (F.col("bad") / n).alias("support")
     )
 
 
