@@ -325,3 +325,24 @@ def test_malformed_records_go_to_a_table(spark, table, tmp_path):
         assert [(r.file.split("/")[-1], r.day, r.text) for r in lost] == [(path.name, day(0), (line % 2)[:-9])]
     finally:
         spark.sql(f"DROP TABLE IF EXISTS {load.malformed_table}")
+
+
+def test_only_days_that_can_follow_a_repaired_one_are_ordered(spark, table, monkeypatch):
+    """And beside a large lookup rows that are given are stored once."""
+    from tideline.plans import daily_load
+
+    seen, copies, changed, staged = [], [], DailyLoad._changed, daily_load.staged
+
+    def spy(self, batch, kept):
+        seen.append([sorted({r.FlightDate for r in df.select("FlightDate").collect()}) for df in (batch, kept)])
+        return changed(self, batch, kept)
+
+    monkeypatch.setattr(DailyLoad, "_changed", spy)
+    rows = {n: [(10 * n + i, "A", day(n), 900 + i, "p") for i in range(2)] for n in range(5)}
+    load = loader(spark, table, broadcast_rows=0)
+    load.load(spark.createDataFrame(sum(rows.values(), []), SCHEMA))
+    monkeypatch.setattr(daily_load, "staged", lambda df, label="batch", keep=False: (copies.append(label), staged(df, label, keep))[1])
+    rows[1] = [(10, "A", day(1), 800, "q")]
+    assert load.load(spark.createDataFrame(rows[1] + rows[2] + rows[3], SCHEMA)) == [day(n) for n in range(4)]
+    assert seen == [[[day(1)], [day(0)]]] and copies == ["batch", "before"]
+    assert stored(spark, table) == recompute(sum(rows.values(), []), 1)

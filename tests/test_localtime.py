@@ -189,3 +189,11 @@ def test_policies_reach_the_enrichment(spark):
     assert got == [("doubled", "2023-11-05 06:30:00"), ("skipped", "None"), (None, "None")]
     with pytest.raises(ValueError, match="doubled"):
         local_to_utc(df, zones(spark), doubled="both")
+
+
+def test_rows_are_not_sorted_before_a_large_lookup(spark):
+    """An order that the join does not keep costs nothing where no place is cut."""
+    rows = spark.range(50).select(F.concat(F.lit("p"), F.col("id") % 3).alias("Origin"), "id").union(spark.sql("SELECT NULL, 50L"))
+    out = attach_zone(rows.orderBy(F.desc("id")), zones(spark, ("p1", "Z/2")), "Origin", broadcast_rows=0)
+    assert "rangepartitioning" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {(r.id, r.zone) for r in out.collect()} == {(i, "Z/2" if i % 3 == 1 and i < 50 else None) for i in range(51)}

@@ -86,9 +86,12 @@ def _join_large(
     """One shuffled join, in which no task gets all rows of a busy place or all without a place.
 
     Rows of a busy place are dealt out over pieces, and its few rows of the lookup are repeated for
-    each. Rows without a place meet nothing, wherever they go.
+    each. Rows without a place meet nothing, wherever they go; they count as a place.
     """
     busy, _ = busy_keys(df, [key], rows_per_task)
+    if busy is None and rows_per_task is not None:
+        # Counted, and neither a place nor the rows without one are too many for a task.
+        return df.join(lookup, matches, "left").select(*[column(c) for c in df.columns], "_zone")
     whole = [column(f.name) for f in df.schema.fields if has_order(f.dataType)]
     # The task's number parts copies of one row; content alone would keep them together.
     deal = F.xxhash64(F.spark_partition_id(), *whole)

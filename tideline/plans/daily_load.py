@@ -82,11 +82,16 @@ class DailyLoad:
     def run(self, path: str | list[str], days: Iterable[date] | None = None) -> list[date]:
         """Load files; gives the days that were written. For ``days`` see ``load``."""
         try:
-            return self.load(self.read(path), days)
+            with ExitStack() as stages:
+                return self.load(self._once(self.read(path), stages), days)
         finally:
             if self.schemas:
                 self.schemas.release()
 
+    def _once(self, events: DataFrame, stages: ExitStack) -> DataFrame:
+        """Parsed rows, stored first if the join with a large lookup would parse them twice."""
+        return events if self.zones.small else stages.enter_context(staged(events))
+
     def read(self, path: str | list[str], source: str | None = None) -> DataFrame:
         """Files as flat, typed rows; ``source`` names a column for the path of each row's file."""
         c = self.config
@@ -98,6 +103,8 @@ class DailyLoad:
     def load(self, events: DataFrame, days: Iterable[date] | None = None) -> list[date]:
         """Load flat, typed rows.
 
+        Beside a lookup too large to broadcast the keys are counted first, by a narrow pass of its
+        own, so give stored rows rather than a long computation.
         ``days`` are those that the rows hold whole. A row of another day would replace that
         day, so the load is refused before anything is written. Without ``days`` the rows
         are taken to be all there is of every day among them. Records that ``read`` marked as
@@ -107,9 +114,6 @@ class DailyLoad:
         if not isinstance(events.schema[c.day].dataType, DateType):
             raise TypeError(f"{c.day} must be a date")
         with ExitStack() as stages:
-            if not self.zones.small:
-                # The join will read the rows more than once.
-                events = stages.enter_context(staged(events))
             timed = local_to_utc(
                 events, self.zones, c.key, c.day, c.clock, c.time,
                 roll_2400=c.roll_2400, rows_per_task=c.rows_per_task,
@@ -212,7 +216,10 @@ class DailyLoad:
         if not earlier or (len(earlier) == 1 and found.isdisjoint(days)):
             # Next to a day that is new, the day before is as good as sure to change.
             return earlier
-        changed = self._changed(batch, stored)
+        # No other day can follow one of these, so the rest of the load is not ordered for it.
+        near = [*earlier, *neighbouring_days(earlier, 0, self.config.lookback_days)]
+        at_hand = column(self.config.day).isin(near)
+        changed = self._changed(batch.where(at_hand), stored.where(at_hand))
         return [d for d in earlier if changed.get(d)]
 
     def _changed(self, batch: DataFrame, stored: DataFrame) -> dict[date, bool]:

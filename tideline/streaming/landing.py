@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from contextlib import ExitStack
 from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -94,6 +95,7 @@ def _load_days_of(load: DailyLoad, files: list[str], seen: str, number: int) ->
         # Those of earlier files were stored when these were new.
         fresh = column(SOURCE_FILE).isin([r.file for r in log.where(F.col("batch") == number).select("file").distinct().collect()])
         taken = taken & (column(MALFORMED).isNull() | fresh)
-    load.load(rows.where(taken))
+    with ExitStack() as stages:
+        load.load(load._once(rows.where(taken), stages))
     if load.schemas:
         load.schemas.release()
