@@ -250,3 +250,35 @@ def test_refusals(spark, tmp_path):
     with pytest.raises(ValueError, match="no day"):
         load.load(spark.createDataFrame([(1, "A", None, 5, "p")], SCHEMA))
     assert load.load(spark.createDataFrame([], SCHEMA)) == [] and load.table() is None
+
+
+def test_tails_find_their_successors_in_one_shuffle(spark, tmp_path):
+    load = loader(spark, tmp_path / "s", lookback_days=None)
+    load.load(spark.createDataFrame([(1, "A", day(0), 900, "p"), (2, None, day(0), 900, "p")], SCHEMA))
+    load.load(spark.createDataFrame([(3, "A", day(4), 900, "q")], SCHEMA))
+    state = load.store.state()
+    parts = {p: load.store.read(state.folders([p]), state.schema) for p in ("tails", "firsts")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        followed = load._followed(parts["tails"], parts["firsts"].select("Origin", "FlightTime_next", "Airline_next", "FlightDate"))
+        plan = followed._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+    assert {(r.Id, r._after and r._after.Airline_next, r._known) for r in followed.collect()} == {(1, "q", True), (3, None, True)}
+
+
+def test_firsts_cut_to_the_keys_of_a_small_load(spark, tmp_path, monkeypatch):
+    """The table is the same whether the firsts of other days are cut to the keys of a load or not."""
+    from tideline.plans import versioned_load
+
+    rnd = random.Random(3)
+    days = {n: some_rows(rnd, day(2 * n), 100 * n, 9) for n in range(3)}
+    for factor in (0, 10**9):
+        monkeypatch.setattr(versioned_load, "_FEW", factor)
+        load = loader(spark, tmp_path / str(factor), lookback_days=None)
+        for n in (2, 0, 1):
+            load.load(spark.createDataFrame(days[n], SCHEMA))
+        load.load(spark.createDataFrame(days[1][:1], SCHEMA))
+        assert stored(load) == recompute([r for n in (0, 2) for r in days[n]] + days[1][:1], ANY)
+        check_report(load)

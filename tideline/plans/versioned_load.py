@@ -22,7 +22,9 @@ from tideline.plans.daily_load import DailyLoad, split_malformed, staged
 from tideline.plans.day_store import Conflict, DayStore, State, grown
 from tideline.sources.json_events import MALFORMED, SOURCE_FILE
 
-_PART, _KNOWN = "_part", "_known"
+_PART, _KNOWN, _AFTER, _FIRST, _OWN = "_part", "_known", "_after", "_first", "_own"
+# A load of fewer rows than the other days hold, by this factor, has their firsts cut to its own keys
+_FEW = 10
 
 
 class VersionedLoad(DailyLoad):
@@ -68,8 +70,6 @@ class VersionedLoad(DailyLoad):
         if not isinstance(events.schema[c.day].dataType, DateType):
             raise TypeError(f"{c.day} must be a date")
         with ExitStack() as stages:
-            if not self.zones.small:
-                events = stages.enter_context(staged(events))
             if c.delay:
                 really = F.when(
                     local_clock(column(c.day), column(c.clock)).isNotNull(),
@@ -242,7 +242,7 @@ class VersionedLoad(DailyLoad):
         near = self.store.read(base.folders(["firsts"], others), narrow) if base.schema else None
         timeline = None if firsts is None else firsts.select(*[column(n) for n in narrow.fieldNames()])
         if near is not None:
-            if c.lookback_days is None:
+            if c.lookback_days is None and self._few(base, entries, others):
                 # Only keys of the days that were written, now or before, can get another successor.
                 lost = self.store.read(base.folders(["firsts"], list(entries)), narrow)
                 keys = [f.select(column(c.key).alias("_k")) for f in (timeline, lost) if f is not None]
@@ -253,35 +253,23 @@ class VersionedLoad(DailyLoad):
             timeline = near if timeline is None else timeline.unionByName(near)
         if timeline is None:
             return "", {}, []
-        by_day = Window.partitionBy(column(c.key)).orderBy(column(c.day))
-        after = F.lead(F.struct(column(c.day).alias("d"), *[column(n) for n in names])).over(by_day)
-        within = F.lit(True) if c.lookback_days is None else F.date_diff(F.col("_after.d"), column(c.day)) <= c.lookback_days
-        linked = timeline.select(column(c.key).alias("_k"), column(c.day).alias("_d"), after.alias("_after"), column(c.day)).select(
-            "_k", "_d", F.when(within, F.col("_after")).alias("_after"), F.lit(True).alias(_KNOWN)
-        )
-        same_row = (column(c.key) == F.col("_k")) & (column(c.day) == F.col("_d"))
 
-        pieces, changed = [], []
-        raw = [e["raw"] for e in entries.values() if e["raw"]]
-        if raw:
-            pieces.append(self.store.read(raw, schema).join(linked, same_row, "left"))
+        changed = []
         stored = self.store.read(base.folders(["tails"], earlier), narrow) if near is not None else None
         if stored is not None and len(earlier) == 1 and base.days.keys().isdisjoint(entries):
             # Next to a day that is new, the day before is as good as sure to change.
             changed = earlier
         elif stored is not None:
-            stored = stored.join(linked, same_row)
             differs = F.lit(False)
             for n in names:
-                differs = differs | ~column(n).eqNullSafe(F.col("_after").getField(n))
-            changed = sorted(r[0] for r in stored.where(differs).select(column(c.day)).distinct().collect())
-        if changed:
-            changed = [d for d in changed if base.days[d]["tails"]]
-            if changed:
-                pieces.append(self.store.read(base.folders(["tails"], changed), schema).join(linked, same_row, "left"))
-        if not pieces:
+                differs = differs | ~column(n).eqNullSafe(F.col(_AFTER).getField(n))
+            followed = self._followed(stored, timeline)
+            changed = sorted(r[0] for r in followed.where(F.col(_KNOWN) & differs).select(column(c.day)).distinct().collect())
+        changed = [d for d in changed if base.days[d]["tails"]]
+        tails = [e["raw"] for e in entries.values() if e["raw"]] + base.folders(["tails"], changed)
+        if not tails:
             return "", {}, []
-        rows = pieces[0] if len(pieces) == 1 else pieces[0].unionByName(pieces[1])
+        rows = self._followed(self.store.read(tails, schema), timeline)
         # Counted while they are written; a day of many goes by its place in the list.
         days = [*(d for d, e in entries.items() if e["raw"]), *changed]
         seen, open_ = Observation(), column(c.next_columns[0]).isNull()
@@ -290,12 +278,42 @@ class VersionedLoad(DailyLoad):
         found = seen.get
         return version, {d: found[f"d{i}"] for i, d in enumerate(days)}, changed
 
+    def _few(self, base: State, entries: dict[date, dict[str, Any]], others: list[date]) -> bool:
+        """Whether the days that were written are few beside the others, so that their keys may be too."""
+        written = sum(e["rows"] + base.days.get(d, {"rows": 0})["rows"] for d, e in entries.items())
+        return written * _FEW < sum(base.days[d]["rows"] for d in others)
+
+    def _followed(self, tails: DataFrame, timeline: DataFrame) -> DataFrame:
+        """``tails`` with the row of ``timeline`` that comes next (``_after``, none if too far), and
+        whether the timeline has their key and day (``_known``).
+
+        Both lie in one frame, so rows move once: by key, later days first, a tail before the first
+        row of its own day.
+        """
+        c = self.config
+        key, day = column(c.key), column(c.day)
+        first = F.struct(day.alias("d"), *[column(n) for n in self._follower.values()]).alias(_FIRST)
+        firsts = timeline.select(key, day, first)
+        both = tails.withColumn(_FIRST, F.lit(None).cast(firsts.schema[_FIRST].dataType)).unionByName(
+            firsts, allowMissingColumns=True
+        )
+        by_key = Window.partitionBy(key).orderBy(day.desc(), F.col(_FIRST).isNotNull())
+        later = by_key.rowsBetween(Window.unboundedPreceding, -1)
+        both = both.withColumns({
+            _AFTER: F.last(F.col(_FIRST), ignorenulls=True).over(later), _OWN: F.lead(F.col(_FIRST)).over(by_key),
+        })
+        known = key.isNotNull() & F.coalesce(F.col(_OWN).getField("d") == day, F.lit(False))
+        within = F.lit(True) if c.lookback_days is None else F.date_diff(F.col(_AFTER).getField("d"), day) <= c.lookback_days
+        return both.where(F.col(_FIRST).isNull()).select(
+            *[column(n) for n in tails.columns], F.when(within, F.col(_AFTER)).alias(_AFTER), known.alias(_KNOWN)
+        )
+
     def _set(self, schema: StructType) -> list[Column]:
         """The columns of ``schema``, successors taken from ``_after`` where the key is known."""
         c, names = self.config, set(self._follower.values())
-        known = F.coalesce(F.col(_KNOWN), F.lit(False))
-        set_to = {n: F.when(known, F.col("_after").getField(n)).otherwise(column(n)) for n in names}
+        known = F.col(_KNOWN)
+        set_to = {n: F.when(known, F.col(_AFTER).getField(n)).otherwise(column(n)) for n in names}
         set_to[c.gap] = F.when(
-            known, gap_seconds(F.col("_after").getField(c.next_columns[0]), column(c.time))
+            known, gap_seconds(F.col(_AFTER).getField(c.next_columns[0]), column(c.time))
         ).otherwise(column(c.gap))
         return [set_to.get(f.name, column(f.name)).alias(f.name) for f in schema.fields]
